@@ -18,6 +18,11 @@ def newest_first() -> WindowSpec:
     return Window.partitionBy("company_name").orderBy(F.col("Date").desc())
 
 
+def in_year() -> WindowSpec:
+    """All bars of a company's calendar year."""
+    return Window.partitionBy("company_name", F.year("Date"))
+
+
 def by_date_in_year() -> WindowSpec:
-    """Starts afresh each January."""
-    return Window.partitionBy("company_name", F.year("Date")).orderBy("Date")
+    """Along a company's calendar year; starts afresh each January."""
+    return in_year().orderBy("Date")

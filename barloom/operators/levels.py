@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.frames import by_date_in_year
+from barloom.functions.frames import by_date_in_year, in_year
 from barloom.functions.prices import ratio
 from barloom.operators.filters import select_bars
 from barloom.schema import as_date, check_range
@@ -18,6 +18,14 @@ FIBONACCI_LEVELS = {"23.6%": 0.236, "38.2%": 0.382, "50.0%": 0.5, "61.8%": 0.618
 TOP_LEVEL = "100.0%"
 
 
+def _level_rows(lowest: Column, highest: Column) -> Column:
+    levels = [
+        F.struct(F.lit(name).alias("level"), (lowest + (highest - lowest) * share).alias("price"))
+        for name, share in FIBONACCI_LEVELS.items()
+    ]
+    return F.array(*levels, F.struct(F.lit(TOP_LEVEL).alias("level"), highest.alias("price")))
+
+
 def fibonacci_levels(
     bars: DataFrame,
     companies: str | Iterable[str] | None = None,
@@ -28,18 +36,12 @@ def fibonacci_levels(
     """``(company_name[, Year], level, price)``: five levels between the lowest
     low and the highest high of a company, per year or over all of its bars."""
     keys = ["company_name", "Year"] if per_year else ["company_name"]
-    low, high = F.col("low"), F.col("high")
-    levels = [
-        F.struct(F.lit(name).alias("level"), (low + (high - low) * share).alias("price"))
-        for name, share in FIBONACCI_LEVELS.items()
-    ]
-    levels.append(F.struct(F.lit(TOP_LEVEL).alias("level"), high.alias("price")))
     return (
         select_bars(bars, companies, years)
         .withColumn("Year", F.year("Date"))
         .groupBy(*keys)
-        .agg(F.min("Low").alias("low"), F.max("High").alias("high"))
-        .select(*keys, F.inline(F.array(*levels)))
+        .agg(F.min("Low").alias("lowest"), F.max("High").alias("highest"))
+        .select(*keys, F.inline(_level_rows(F.col("lowest"), F.col("highest"))))
     )
 
 
@@ -50,13 +52,28 @@ def fibonacci_overlay(
 ) -> DataFrame:
     """Each bar's close beside the levels of its company and year.
 
-    The levels grow with the number of companies, so the join carries no
-    broadcast hint: Spark broadcasts them when they turn out small and
-    otherwise joins by shuffle, splitting skewed partitions.
+    The range comes from a window over the company's year, at most 366 bars:
+    one scan and one shuffle, where joining the levels back would take two.
     """
-    selected = select_bars(bars, companies, years)
-    closes = selected.select("company_name", "Date", F.year("Date").alias("Year"), "Close")
-    return closes.join(fibonacci_levels(selected), ["company_name", "Year"])
+    year = in_year()
+    return (
+        select_bars(bars, companies, years)
+        .select(
+            "company_name",
+            "Date",
+            F.year("Date").alias("Year"),
+            "Close",
+            F.min("Low").over(year).alias("_lowest"),
+            F.max("High").over(year).alias("_highest"),
+        )
+        .select(
+            "company_name",
+            "Date",
+            "Year",
+            "Close",
+            F.inline(_level_rows(F.col("_lowest"), F.col("_highest"))),
+        )
+    )
 
 
 def volume_ratio(

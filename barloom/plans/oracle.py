@@ -9,7 +9,7 @@ from itertools import combinations
 
 from barloom.plans.queries import CHOSEN, CHOSEN_YEARS, PLACES, STATUSES
 
-_TRADE_ORDER = "(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)"
+_TRADE_ORDER = "(l_orderkey, l_linenumber, l_extendedprice)"
 _STATUS = "l_returnflag || '-' || l_linestatus"
 _SUPPLIER = "CAST(l_suppkey AS VARCHAR)"
 _BAR = "company_name, Date, Open, High, Low, Close, Volume"
@@ -36,6 +36,18 @@ def _bars(symbol: str) -> str:
   FROM lineitem GROUP BY 1, 2)"""
 
 
+# event_id is unique, so it orders the trades of a day by itself.
+_EVENT_BARS = """bars AS (
+  SELECT event_type AS company_name,
+         CAST(ts AS DATE) AS Date,
+         min_by(value, event_id) AS Open,
+         max(value) AS High,
+         min(value) AS Low,
+         max_by(value, event_id) AS Close,
+         count(*) AS Volume
+  FROM events GROUP BY 1, 2)"""
+
+
 def _r(expression: str, alias: str) -> str:
     return f"round({expression}, {PLACES}) AS {alias}"
 
@@ -381,6 +393,15 @@ _OVER_SUPPLIERS: dict[str, str] = {
     "supplier_sampling_period": _SAMPLING_PERIOD,
 }
 
+_OVER_EVENTS: dict[str, str] = {
+    "event_bars": f"SELECT {_BAR} FROM bars",
+    "event_daily_return": _DAILY_RETURN,
+    "event_avg_prices_week": _avg_prices("Week"),
+    "event_rsi": _RSI,
+    "event_money_flow_index": _MFI,
+    "event_support_resistance": _SUPPORT_RESISTANCE,
+}
+
 _LINEITEM_NUMERIC = (
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
     "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -396,13 +417,14 @@ _OVER_TABLES: dict[str, str] = {
 }
 
 
-def _with_bars(symbol: str, query: str) -> str:
+def _with(bars: str, query: str) -> str:
     if query.startswith("WITH "):
-        return f"WITH {_bars(symbol)}, {query[len('WITH '):]}"
-    return f"WITH {_bars(symbol)}\n{query}"
+        return f"WITH {bars}, {query[len('WITH '):]}"
+    return f"WITH {bars}\n{query}"
 
 
 def all_sql() -> dict[str, str]:
-    sql = {name: _with_bars(_STATUS, query) for name, query in _OVER_STATUS.items()}
-    sql |= {name: _with_bars(_SUPPLIER, query) for name, query in _OVER_SUPPLIERS.items()}
+    sql = {name: _with(_bars(_STATUS), query) for name, query in _OVER_STATUS.items()}
+    sql |= {name: _with(_bars(_SUPPLIER), query) for name, query in _OVER_SUPPLIERS.items()}
+    sql |= {name: _with(_EVENT_BARS, query) for name, query in _OVER_EVENTS.items()}
     return sql | _OVER_TABLES

@@ -1,8 +1,8 @@
 """Every operator as a query over the given tables.
 
-Two sets of bars are derived from the ``lineitem`` table, always from all of
-its rows: by status (few symbols, many trades in each bar) and by supplier
-(many symbols, about one trade in each bar). Results are rounded here, never
+Bars are derived from all rows of a table: from ``lineitem`` by status (few
+symbols, many trades in each bar) and by supplier (many symbols, about one trade
+in each bar), and from ``events`` by type. Results are rounded here, never
 inside an operator.
 """
 
@@ -38,7 +38,7 @@ def _lineitem_bars(spark: SparkSession, sf_dir: str, symbol) -> DataFrame:
         day=F.col("l_shipdate"),
         price=F.col("l_extendedprice"),
         quantity=F.col("l_quantity"),
-        order_by=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
+        order_by=["l_orderkey", "l_linenumber"],
     )
 
 
@@ -50,6 +50,18 @@ def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lineitem_bars(spark, sf_dir, F.col("l_suppkey").cast("string"))
 
 
+def event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bars_from_trades(
+        table(spark, sf_dir, "events"),
+        symbol=F.col("event_type"),
+        day=F.col("ts"),
+        price=F.col("value"),
+        quantity=F.lit(1),
+        order_by=["event_id"],
+        unique_order=True,
+    )
+
+
 def rounded(df: DataFrame, places: int = PLACES) -> DataFrame:
     """Doubles rounded for comparison across engines."""
     doubles = [f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)]
@@ -151,6 +163,15 @@ SUPPLIER_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "supplier_sampling_period": op.sampling_period,
 }
 
+EVENT_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "event_bars": lambda b: b,
+    "event_daily_return": op.with_daily_return,
+    "event_avg_prices_week": lambda b: op.average_prices(b, "Week"),
+    "event_rsi": op.rsi,
+    "event_money_flow_index": op.money_flow_index,
+    "event_support_resistance": op.support_resistance,
+}
+
 # Profiles run on any table; the operator sees whatever columns there are.
 TABLE_QUERIES: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "describe_numeric_lineitem": ("lineitem", op.describe_numeric),
@@ -166,5 +187,6 @@ TABLE_QUERIES: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
 def all_queries() -> dict[str, Query]:
     queries = {name: _over(status_bars, f) for name, f in STATUS_QUERIES.items()}
     queries |= {name: _over(supplier_bars, f) for name, f in SUPPLIER_QUERIES.items()}
+    queries |= {name: _over(event_bars, f) for name, f in EVENT_QUERIES.items()}
     queries |= {name: _over(_table_source(t), f) for name, (t, f) in TABLE_QUERIES.items()}
     return queries
