@@ -3,6 +3,7 @@
 from barloom.functions.calendar import (
     in_previous_period,
     in_years,
+    on_days,
     period_columns,
     period_label,
 )
@@ -14,6 +15,7 @@ __all__ = [
     "in_previous_period",
     "in_years",
     "mfi_label",
+    "on_days",
     "period_columns",
     "period_label",
     "ratio",

@@ -21,17 +21,31 @@ NAMED_SPACINGS = {1: "1 day", 7: "1 week", 30: "1 month", 365: "1 year"}
 
 def in_years(years: int | Iterable[int], day: str = "Date") -> Column:
     """``year(day)`` is one of ``years``, as one range per run of years."""
+    runs = _runs(int(year) for year in as_list(years))
+    return _in_ranges(((date(a, 1, 1), date(b, 12, 31)) for a, b in runs), day)
+
+
+def on_days(days: Iterable[date], day: str = "Date") -> Column:
+    """``day`` is one of ``days``, as one range per run of days. Unlike an
+    ``IN``, this reaches the scan below a cast from timestamps as well."""
+    runs = _runs(d.toordinal() for d in days)
+    return _in_ranges(((date.fromordinal(a), date.fromordinal(b)) for a, b in runs), day)
+
+
+def _runs(numbers: Iterable[int]) -> list[list[int]]:
+    """First and last of each run of consecutive numbers."""
     runs: list[list[int]] = []
-    for year in sorted({int(y) for y in as_list(years)}):
-        if runs and runs[-1][1] == year - 1:
-            runs[-1][1] = year
+    for number in sorted(set(numbers)):
+        if runs and runs[-1][1] == number - 1:
+            runs[-1][1] = number
         else:
-            runs.append([year, year])
-    ranges = [
-        F.col(day).between(F.lit(date(first, 1, 1)), F.lit(date(last, 12, 31)))
-        for first, last in runs
-    ]
-    return reduce(Column.__or__, ranges) if ranges else F.lit(False)
+            runs.append([number, number])
+    return runs
+
+
+def _in_ranges(ranges: Iterable[tuple[date, date]], day: str) -> Column:
+    conditions = [F.col(day).between(F.lit(first), F.lit(last)) for first, last in ranges]
+    return reduce(Column.__or__, conditions) if conditions else F.lit(False)
 
 
 def iso_week_days(year: int, week: int) -> list[date]:
@@ -56,7 +70,7 @@ def in_previous_period(start: date | str, period: str, day: str = "Date") -> Col
         return F.col(day).between(F.lit(last.replace(day=1)), F.lit(last))
     back = start - timedelta(weeks=1)
     days = iso_week_days(back.year, back.isocalendar().week)
-    return F.col(day).isin([d for d in days if d < start])
+    return on_days([d for d in days if d < start], day)
 
 
 def period_columns(period: str, day: str = "Date") -> list[Column]:

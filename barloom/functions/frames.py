@@ -6,7 +6,7 @@ session is running.
 
 from __future__ import annotations
 
-from pyspark.sql import Window, WindowSpec
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -18,9 +18,18 @@ def newest_first() -> WindowSpec:
     return Window.partitionBy("company_name").orderBy(F.col("Date").desc())
 
 
+# Helper column of the yearly windows. It is a column rather than an expression
+# in the window, so that stacked windows see one key and share one shuffle.
+YEAR = "_year"
+
+
+def with_year(bars: DataFrame) -> DataFrame:
+    return bars.withColumn(YEAR, F.year("Date"))
+
+
 def in_year() -> WindowSpec:
     """All bars of a company's calendar year."""
-    return Window.partitionBy("company_name", F.year("Date"))
+    return Window.partitionBy("company_name", YEAR)
 
 
 def by_date_in_year() -> WindowSpec:

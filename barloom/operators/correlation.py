@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.functions.prices import ratio
-from barloom.schema import numeric_columns
+from barloom.schema import named, numeric_columns
 
 PAIRS_SCHEMA = "company_a string, company_b string"
 
@@ -43,8 +43,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
         *(
             F.struct(
                 F.lit(n).alias("pair"),
-                F.col(a).cast("double").alias("x"),
-                F.col(b).cast("double").alias("y"),
+                named(a).cast("double").alias("x"),
+                named(b).cast("double").alias("y"),
             )
             for n, (a, b) in enumerate(pairs, start=1)
         )

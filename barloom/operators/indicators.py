@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.functions.frames import by_date_in_year, newest_first
+from barloom.functions.frames import YEAR, by_date_in_year, newest_first, with_year
 from barloom.functions.prices import ratio, typical_price
 from barloom.operators.filters import select_bars
 from barloom.operators.windows import latest_days
@@ -38,7 +38,7 @@ def rsi(
     check_count("window_size", window_size)
     frame = by_date_in_year().rowsBetween(-window_size, Window.currentRow)
     move = F.col("_move")
-    moves = select_bars(bars, companies, years).withColumn(
+    moves = with_year(select_bars(bars, companies, years)).withColumn(
         "_move", F.col("Close") - F.lag("Close").over(by_date_in_year())
     )
 
@@ -47,7 +47,7 @@ def rsi(
 
     gains = mean(F.when(move > 0, move).otherwise(0.0))
     losses = mean(F.when(move < 0, -move).otherwise(0.0))
-    return moves.withColumn("RSI", _index(gains, losses)).drop("_move")
+    return moves.withColumn("RSI", _index(gains, losses)).drop("_move", YEAR)
 
 
 def bollinger_bands(
@@ -93,7 +93,7 @@ def money_flow_index(
     price, before = F.col("_price"), F.col("_before")
     flow = price * F.col("Volume")
     prices = (
-        select_bars(bars, companies, years)
+        with_year(select_bars(bars, companies, years))
         .withColumn("_price", typical_price())
         .withColumn("_before", F.lag("_price").over(by_date_in_year()))
     )
@@ -104,5 +104,5 @@ def money_flow_index(
     return (
         prices.withColumn("_index", _index(total(price > before), total(price < before)))
         .withColumn("Money_Flow_Index", F.when(F.isnan("_index"), 50.0).otherwise(F.col("_index")))
-        .drop("_price", "_before", "_index")
+        .drop("_price", "_before", "_index", YEAR)
     )

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.frames import by_date_in_year, in_year
+from barloom.functions.frames import YEAR, by_date_in_year, in_year, with_year
 from barloom.functions.prices import ratio
 from barloom.operators.filters import select_bars
 from barloom.schema import as_date, check_range
@@ -57,11 +57,11 @@ def fibonacci_overlay(
     """
     year = in_year()
     return (
-        select_bars(bars, companies, years)
+        with_year(select_bars(bars, companies, years))
         .select(
             "company_name",
             "Date",
-            F.year("Date").alias("Year"),
+            F.col(YEAR).alias("Year"),
             "Close",
             F.min("Low").over(year).alias("_lowest"),
             F.max("High").over(year).alias("_highest"),
@@ -115,7 +115,7 @@ def support_resistance(
         return F.lag(column, bars_back).over(by_date_in_year())
 
     low, high = F.col("Low"), F.col("High")
-    marked = select_bars(bars, companies, years).select(
+    marked = with_year(select_bars(bars, companies, years)).select(
         "company_name",
         "Date",
         F.when((low < before("Low", 1)) & (low < before("Low", 2)), low).alias("support"),

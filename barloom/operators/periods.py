@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.calendar import period_columns
+from barloom.functions.calendar import on_days, period_columns
 from barloom.functions.prices import ratio
 from barloom.operators.filters import select_bars
 from barloom.operators.returns import with_daily_return
@@ -49,7 +49,7 @@ def range_change(bars: DataFrame, start: date | str, end: date | str) -> DataFra
 
     change = F.col("end_close") - F.col("start_close")
     return (
-        bars.filter(F.col("Date").isin(start, end))
+        bars.filter(on_days([start, end]))
         .groupBy("company_name")
         .agg(close_on(start).alias("start_close"), close_on(end).alias("end_close"))
         .filter("start_close IS NOT NULL AND end_close IS NOT NULL")

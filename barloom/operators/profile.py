@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from barloom.functions.calendar import period_label
 from barloom.functions.frames import by_date
 from barloom.operators.filters import select_bars
-from barloom.schema import as_date, numeric_columns
+from barloom.schema import as_date, named, numeric_columns
 
 _STATISTICS = "column string, count bigint, mean double, stddev double, min double, max double"
 
@@ -42,11 +42,11 @@ def describe_numeric(df: DataFrame, by: str | None = None) -> DataFrame:
 
     statistics = []
     for name in columns:
-        value = F.col(name).cast("double")
+        value = named(name).cast("double")
         statistics.append(
             F.struct(
                 F.lit(name).alias("column"),
-                F.count(name).alias("count"),
+                F.count(named(name)).alias("count"),
                 F.avg(value).alias("mean"),
                 F.stddev_samp(value).alias("stddev"),
                 F.min(value).alias("min"),
@@ -60,7 +60,7 @@ def missing_values(df: DataFrame) -> DataFrame:
     """NULLs per column, and empty text in string columns. NaN is a value."""
     counts = []
     for field in df.schema:
-        column = F.col(f"`{field.name}`")
+        column = named(field.name)
         absent: Column = column.isNull()
         if isinstance(field.dataType, T.StringType):
             absent = absent | (column == "")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.calendar import period_columns
@@ -46,46 +46,39 @@ def return_rate_labelled(bars: DataFrame, start: date | str, period: str) -> Dat
     return rates.withColumn("label", return_label(F.col("Return_Rate"), highest))
 
 
+def _wide(df: DataFrame, keys: list[Column], columns: dict[str, Column]) -> DataFrame:
+    """One aggregate per wide column; the columns asked for bound their number."""
+    aggregates = [value.alias(name) for name, value in columns.items()]
+    if not aggregates:
+        return df.select(*keys).distinct()
+    return df.groupBy(*keys).agg(*aggregates)
+
+
 def price_series_wide(
     bars: DataFrame,
-    companies: Iterable[str],
+    companies: Sequence[str],
     price_type: str = "Close",
     years: int | Iterable[int] | None = None,
 ) -> DataFrame:
     """One row per date, one ``"<company> <price type>"`` column per company."""
     check_price_type(price_type)
-    names = as_list(companies)
-    return (
-        select_bars(bars, names, years)
-        .groupBy("Date")
-        .agg(
-            *(
-                F.max(F.when(F.col("company_name") == name, F.col(price_type))).alias(
-                    f"{name} {price_type}"
-                )
-                for name in names
-            )
-        )
-    )
+    columns = {
+        f"{name} {price_type}": F.max(F.when(F.col("company_name") == name, F.col(price_type)))
+        for name in as_list(companies)
+    }
+    return _wide(select_bars(bars, companies, years), [F.col("Date")], columns)
 
 
 def average_return_wide(
     bars: DataFrame,
-    companies: Iterable[str],
+    companies: Sequence[str],
     period: str,
     years: int | Iterable[int] | None = None,
 ) -> DataFrame:
     """One row per period, one ``"<company> Avg_Return"`` column per company."""
-    names = as_list(companies)
-    return (
-        with_daily_return(select_bars(bars, names, years))
-        .groupBy(*period_columns(period))
-        .agg(
-            *(
-                F.avg(F.when(F.col("company_name") == name, F.col("Daily_Return"))).alias(
-                    f"{name} Avg_Return"
-                )
-                for name in names
-            )
-        )
-    )
+    columns = {
+        f"{name} Avg_Return": F.avg(F.when(F.col("company_name") == name, F.col("Daily_Return")))
+        for name in as_list(companies)
+    }
+    returns = with_daily_return(select_bars(bars, companies, years))
+    return _wide(returns, period_columns(period), columns)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from barloom.schema import conform
@@ -41,8 +40,8 @@ def _read_excel(spark: SparkSession, path: str) -> DataFrame:
     reader = spark.read.format(EXCEL_FORMAT).options(header="true", inferSchema="true")
     try:
         return reader.load(path)
-    except PySparkException as error:
-        if error.getCondition() == "DATA_SOURCE_NOT_FOUND":
+    except Exception as error:  # a missing connector surfaces as a bare JVM error
+        if "DATA_SOURCE_NOT_FOUND" in str(error):
             raise RuntimeError(
                 f"reading xlsx needs the {EXCEL_FORMAT} connector; add its jar to the "
                 "session (spark.jars.packages) or save the sheet as csv"

@@ -1,6 +1,6 @@
 """Runs the registered queries and their SQL twins and reports differences.
 
-    python tests/compare.py /root/testdata/sf0.01 [name ...]
+    python tests/compare.py [--exact] /root/testdata/sf0.01 [name ...]
 """
 
 from __future__ import annotations
@@ -62,7 +62,7 @@ def close(a: tuple, b: tuple) -> bool:
     )
 
 
-def differences(df, relation) -> str | None:
+def differences(df, relation, exact: bool = False) -> str | None:
     """What differs between a Spark and a DuckDB result, or None."""
     spark_columns, sql_columns = list(df.columns), list(relation.columns)
     if sorted(spark_columns) != sorted(sql_columns):
@@ -71,7 +71,7 @@ def differences(df, relation) -> str | None:
     theirs = as_rows(sql_columns, relation.fetchall())
     if len(mine) != len(theirs):
         return f"{len(mine)} rows != {len(theirs)}"
-    bad = [(a, b) for a, b in zip(mine, theirs) if a != b and not close(a, b)]
+    bad = [(a, b) for a, b in zip(mine, theirs) if a != b and (exact or not close(a, b))]
     if bad:
         return f"{len(bad)} of {len(mine)} rows differ, first: {bad[0][0]} != {bad[0][1]}"
     types = {f.name: f.dataType.simpleString() for f in df.schema}
@@ -89,7 +89,8 @@ def main() -> int:
 
     from __spark_entry__ import oracle_sql, queries
 
-    sf_dir, names = sys.argv[1], sys.argv[2:]
+    arguments = [a for a in sys.argv[1:] if a != "--exact"]
+    exact, sf_dir, names = "--exact" in sys.argv, arguments[0], arguments[1:]
     spark = (
         SparkSession.builder.master(f"local[{os.environ.get('BENCH_CPUS', '8')}]")
         .config("spark.sql.shuffle.partitions", "8")
@@ -106,7 +107,7 @@ def main() -> int:
             continue
         started = time.time()
         try:
-            problem = differences(query(spark, sf_dir), db.sql(sql[name]))
+            problem = differences(query(spark, sf_dir), db.sql(sql[name]), exact)
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         failed += problem is not None

@@ -1,0 +1,74 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from barloom.functions import in_previous_period, in_years, period_columns, period_label
+from barloom.functions.calendar import iso_week_days
+
+GAPS = {
+    0: "0 days", 1: "1 day", 3: "3 days", 7: "1 week", 8: "1 weeks and 1 days", 14: "2 weeks",
+    30: "1 month", 31: "4 weeks and 3 days", 365: "1 year", 366: "52 weeks and 2 days",
+    -1: "6 days", -7: "0 days",
+}
+
+
+@pytest.fixture(scope="module")
+def days(spark):
+    """Every day from 1995 to 2025."""
+    return spark.sql("SELECT explode(sequence(date'1995-01-01', date'2025-12-31')) AS Date").cache()
+
+
+def kept(days, condition):
+    return sorted(r.Date for r in days.filter(condition).collect())
+
+
+def test_period_label(spark):
+    gaps = spark.createDataFrame([(g,) for g in [*GAPS, None]], "g int")
+    labelled = gaps.select("g", period_label(F.lit(date(2020, 3, 1)), F.expr("date_add(date'2020-03-01', g)")))
+    assert {r[0]: r[1] for r in labelled.collect()} == {**GAPS, None: None}
+
+
+def test_in_years_equals_year_of_date(days):
+    expected = kept(days, F.year("Date").isin(1996, 1997, 2004))
+    assert kept(days, in_years([2004, 1997, 1996, 1997])) == expected
+    assert kept(days, in_years(2000)) == kept(days, F.year("Date") == 2000)
+    assert kept(days, in_years([])) == []
+
+
+def test_week_columns_pair_calendar_year_with_iso_week(spark):
+    weeks = spark.sql("SELECT explode(array(date'2018-12-31', date'2018-01-03')) AS Date")
+    assert {tuple(r) for r in weeks.select(*period_columns("Week")).collect()} == {(2018, 1)}
+    with pytest.raises(ValueError):
+        period_columns("Quarter")
+
+
+def test_iso_week_days_is_not_always_one_run():
+    assert iso_week_days(2000, 52)[:2] == [date(2000, 1, 1), date(2000, 1, 2)]
+    assert iso_week_days(2000, 52)[-1] == date(2000, 12, 31)
+
+
+def test_previous_period(days):
+    year = kept(days, in_previous_period("2020-03-15", "Year"))
+    assert (year[0], year[-1], len(year)) == (date(2019, 1, 1), date(2019, 12, 31), 365)
+    month = kept(days, in_previous_period("2020-03-15", "Month"))
+    assert (month[0], month[-1], len(month)) == (date(2020, 2, 1), date(2020, 2, 29), 29)
+    january = kept(days, in_previous_period("2020-01-15", "Month"))
+    assert (january[0], january[-1]) == (date(2019, 12, 1), date(2019, 12, 31))
+
+
+@pytest.mark.parametrize("start", ["2000-01-08", "2001-01-01", "2019-01-03", "2018-12-31", "2020-06-10"])
+def test_previous_week_is_calendar_year_and_iso_week_before_start(days, start):
+    back = date.fromordinal(date.fromisoformat(start).toordinal() - 7)
+    expected = kept(
+        days,
+        (F.year("Date") == back.year)
+        & (F.weekofyear("Date") == back.isocalendar().week)
+        & (F.col("Date") < F.lit(start).cast("date")),
+    )
+    assert kept(days, in_previous_period(start, "Week")) == expected and expected
+
+
+def test_unknown_period():
+    with pytest.raises(ValueError):
+        in_previous_period("2020-01-01", "Day")

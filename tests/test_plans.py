@@ -1,0 +1,125 @@
+"""The physical plans: what is pushed down, shuffled and broadcast."""
+
+from __future__ import annotations
+
+import re
+from pathlib import Path
+
+import pytest
+
+from barloom import operators as op
+from barloom.plans.queries import status_bars, supplier_bars
+from tests.conftest import closes
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def bars(spark, make, tmp_path_factory):
+    """Bars in Parquet, as they would be kept."""
+    path = str(tmp_path_factory.mktemp("plans") / "bars.parquet")
+    make(closes(range(1, 50)) + closes(range(50, 1, -1), "B")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(df) -> list[str]:
+    return re.findall(r"(?<!Broadcast)Exchange (\w+)", plan(df))
+
+
+OPERATORS = {
+    "rsi": op.rsi,
+    "money_flow_index": op.money_flow_index,
+    "support_resistance": op.support_resistance,
+    "fibonacci_overlay": op.fibonacci_overlay,
+    "price_changes": lambda b: op.price_changes(b, "2020-01-05", "2020-02-01"),
+    "moving_average_rolling": lambda b: op.moving_average_rolling(b, 5),
+    "bar_spacing": op.bar_spacing,
+    "bollinger_bands": lambda b: op.bollinger_bands(b, "2020-02-01", 5),
+    "average_prices": lambda b: op.average_prices(b, "Week"),
+    "average_return": lambda b: op.average_return(b, "Month"),
+    "return_rate": lambda b: op.return_rate(b, "2020-02-01", "Month"),
+    "fibonacci_levels": op.fibonacci_levels,
+    "volume_ratio": lambda b: op.volume_ratio(b, "2020-01-04", "2020-01-01", "2020-02-03"),
+    "range_change": lambda b: op.range_change(b, "2020-01-04", "2020-01-09"),
+    "price_series_wide": lambda b: op.price_series_wide(b, ["A", "B"]),
+    "describe_by_company": lambda b: op.describe_numeric(b, by="company_name"),
+    "correlation_matrix": op.correlation_matrix,
+}
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_one_hash_shuffle_and_no_single_partition(bars, name):
+    assert exchanges(OPERATORS[name](bars)) == ["hashpartitioning"]
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_no_cross_join_and_no_python(bars, name):
+    assert not re.search("NestedLoop|Cartesian|Python|Pandas|Arrow", plan(OPERATORS[name](bars)))
+
+
+def test_yearly_indicators_are_spread_by_company_and_year(bars):
+    for operator in (op.rsi, op.money_flow_index, op.support_resistance, op.fibonacci_overlay):
+        assert re.search(r"hashpartitioning\(company_name#\d+, _year#\d+", plan(operator(bars)))
+
+
+@pytest.mark.parametrize(
+    "query",
+    [
+        op.first_last_rows,
+        lambda b: op.moving_average_asof(b, "2020-02-01", 5),
+        lambda b: op.bollinger_bands(b, "2020-02-01", 5),
+    ],
+)
+def test_top_days_are_cut_before_the_shuffle(bars, query):
+    limits = re.findall(r"WindowGroupLimit .*?(Partial|Final)", plan(query(bars)))
+    assert "Partial" in limits and "Final" in limits
+
+
+def test_date_conditions_reach_the_scan(bars):
+    pushed = {
+        "select_bars": op.select_bars(bars, ["A"], [2019, 2020]),
+        "price_changes": OPERATORS["price_changes"](bars),
+        "return_rate": OPERATORS["return_rate"](bars),
+        "previous_week": op.return_rate(bars, "2020-02-01", "Week"),
+        "volume_ratio": OPERATORS["volume_ratio"](bars),
+        "range_change": OPERATORS["range_change"](bars),
+        "moving_average": op.moving_average_asof(bars, "2020-02-01", 5),
+    }
+    for name, df in pushed.items():
+        filters = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", plan(df)).group(1)
+        assert re.search(r"(Than|OrEqual|In)\w*\(Date", filters), (name, filters)
+
+
+def test_only_needed_columns_are_read(bars):
+    schema = re.search(r"ReadSchema: struct<(.*?)>", plan(op.moving_average_asof(bars, "2020-02-01", 5))).group(1)
+    assert schema == "company_name:string,Date:date,Close:double"
+
+
+def test_highest_return_broadcasts_one_row_per_year(bars):
+    text = plan(op.highest_daily_return(bars))
+    assert "BroadcastHashJoin" in text and "LeftSemi" in text and "NestedLoop" not in text
+
+
+def test_pair_list_is_broadcast_only_up_to_its_limit(bars, monkeypatch):
+    pairs = [("A", "B")]
+    assert "ResolvedHint (strategy=broadcast)" in hints(op.pair_correlation(bars, pairs))
+    monkeypatch.setattr("barloom.operators.correlation.BROADCAST_PAIRS", 0)
+    assert "ResolvedHint" not in hints(op.pair_correlation(bars, pairs))
+
+
+def hints(df) -> str:
+    return df._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables here")
+def test_date_conditions_pass_through_the_roll_up(spark):
+    for name in ("range_change", "return_rate", "price_changes", "volume_ratio", "bollinger_bands"):
+        for source in (status_bars, supplier_bars):
+            text = plan(OPERATORS[name](source(spark, SF_DIR)))
+            filters = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", text).group(1)
+            assert "Than" in filters and "l_shipdate" in filters, (name, filters)
+            assert "l_discount" not in text
