@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.schema import BARS
+
 
 def bars_from_trades(
     trades: DataFrame,
@@ -46,7 +48,7 @@ def bars_from_trades(
             ordered.alias("trade"),
             quantity.alias("quantity"),
         )
-        .groupBy("company_name", "Date")
+        .groupBy("Date", "company_name")  # sorting by a number first is quicker
         .agg(
             opening.alias("Open"),
             F.max("trade.price").alias("High"),
@@ -54,4 +56,5 @@ def bars_from_trades(
             closing.alias("Close"),
             F.sum("quantity").cast("bigint").alias("Volume"),
         )
+        .select(BARS.names)
     )
