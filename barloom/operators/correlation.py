@@ -15,6 +15,8 @@ PAIRS_SCHEMA = "company_a string, company_b string"
 
 # A pair list longer than this is joined by shuffle instead of broadcast.
 BROADCAST_PAIRS = 100_000
+# A pair list up to this length also becomes a filter that reaches the scan.
+FILTER_PAIRS = 1_000
 
 
 def pearson(x: Column, y: Column) -> Column:
@@ -87,15 +89,19 @@ def pair_correlation(
     The work is proportional to the pairs asked for: the first company's bars
     are matched with the list, then with the second company's bars by company
     and date. A list is broadcast up to ``BROADCAST_PAIRS`` entries; a longer
-    one, or a DataFrame of pairs, is left to Spark's own size check.
+    one, or a DataFrame of pairs, is left to Spark's own size check. Of a short
+    list only the companies named in it are read.
     """
+    first = bars.select(F.col("company_name").alias("company_a"), "Date", F.col(value).alias("a"))
+    second = bars.select(F.col("company_name").alias("company_b"), "Date", F.col(value).alias("b"))
     if not isinstance(pairs, DataFrame):
         wanted = list(pairs)
         pairs = bars.sparkSession.createDataFrame(wanted, T.StructType.fromDDL(PAIRS_SCHEMA))
         if len(wanted) <= BROADCAST_PAIRS:
             pairs = F.broadcast(pairs)
-    first = bars.select(F.col("company_name").alias("company_a"), "Date", F.col(value).alias("a"))
-    second = bars.select(F.col("company_name").alias("company_b"), "Date", F.col(value).alias("b"))
+        if len(wanted) <= FILTER_PAIRS:
+            first = first.filter(F.col("company_a").isin(sorted({a for a, _ in wanted})))
+            second = second.filter(F.col("company_b").isin(sorted({b for _, b in wanted})))
     return (
         first.join(pairs, "company_a")
         .join(second, ["company_b", "Date"])

@@ -105,11 +105,11 @@ def _avg_prices(period: str) -> str:
     )
 
 
-def _avg_return(period: str) -> str:
+def _avg_return(period: str, where: str = "true") -> str:
     select, group = _period(period)
     return (
         f"SELECT {select}, company_name, {_r(f'avg({_RETURN})', f'Avg_Return_{period}')} "
-        f"FROM bars GROUP BY {group}, company_name"
+        f"FROM bars WHERE {where} GROUP BY {group}, company_name"
     )
 
 
@@ -308,6 +308,9 @@ _OVER_STATUS: dict[str, str] = {
         f"({_CHANGES})", (*_NUMERIC, "Price_Diff_Day", "Price_Diff_Month")
     ),
     "pair_correlation": _PAIR_CORRELATION,
+    "series_correlation": f"""SELECT {_r(_pearson('x.Close', 'y.Close'), 'correlation')}
+FROM bars x JOIN bars y ON x.Date = y.Date
+WHERE x.company_name = '{CHOSEN[0]}' AND y.company_name = '{CHOSEN[1]}'""",
     "distinct_companies": "SELECT DISTINCT company_name FROM bars",
     "distinct_years": "SELECT CAST(year(Date) AS INTEGER) AS Year, count(*) AS n_bars FROM bars GROUP BY 1",
     "distinct_years_by_company": (
@@ -339,6 +342,7 @@ _OVER_STATUS: dict[str, str] = {
     "avg_return_year": _avg_return("Year"),
     "avg_return_month": _avg_return("Month"),
     "avg_return_week": _avg_return("Week"),
+    "avg_return_month_selected": _avg_return("Month", _CHOSEN_SQL),
     "highest_daily_return": _highest("PARTITION BY year(Date)", True),
     "highest_daily_return_overall": _highest("", False),
     "return_rate_year": _return_rate("year(Date) = 1998"),

@@ -80,6 +80,10 @@ def _changes(bars: DataFrame) -> DataFrame:
     return op.price_changes(bars, "1997-01-01", "1998-12-31")
 
 
+def _series(bars: DataFrame, company: str) -> DataFrame:
+    return op.select_bars(bars, company).select("Date", F.col("Close").alias("Value"))
+
+
 # Operators over the bars by status.
 STATUS_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     # whole table
@@ -91,6 +95,7 @@ STATUS_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "correlation_matrix": op.correlation_matrix,
     "correlation_matrix_price_changes": lambda b: op.correlation_matrix(_changes(b)),
     "pair_correlation": lambda b: op.pair_correlation(b, combinations(STATUSES, 2)),
+    "series_correlation": lambda b: op.series_correlation(*(_series(b, c) for c in CHOSEN)),
     "distinct_companies": op.distinct_companies,
     "distinct_years": op.distinct_years,
     "distinct_years_by_company": lambda b: op.distinct_years(b, by_company=True),
@@ -111,6 +116,7 @@ STATUS_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "avg_return_year": lambda b: op.average_return(b, "Year"),
     "avg_return_month": lambda b: op.average_return(b, "Month"),
     "avg_return_week": lambda b: op.average_return(b, "Week"),
+    "avg_return_month_selected": lambda b: op.average_return(b, "Month", CHOSEN, CHOSEN_YEARS),
     "highest_daily_return": op.highest_daily_return,
     "highest_daily_return_overall": lambda b: op.highest_daily_return(b, per_year=False),
     "return_rate_year": lambda b: op.return_rate(b, "1999-03-05", "Year"),

@@ -111,6 +111,15 @@ def test_pair_list_is_broadcast_only_up_to_its_limit(bars, monkeypatch):
     assert "ResolvedHint" not in hints(op.pair_correlation(bars, pairs))
 
 
+def test_a_short_pair_list_is_a_filter_on_both_scans(bars, monkeypatch):
+    text = plan(op.pair_correlation(bars, [("A", "B")]))
+    assert "EqualTo(company_name,A)" in text and "EqualTo(company_name,B)" in text
+    monkeypatch.setattr("barloom.operators.correlation.FILTER_PAIRS", 0)
+    longer = op.pair_correlation(bars, [("A", "B")])
+    assert "EqualTo" not in plan(longer)
+    assert longer.collect() == op.pair_correlation(bars, [("A", "B")]).collect()
+
+
 def hints(df) -> str:
     return df._jdf.queryExecution().analyzed().toString()
 
