@@ -24,7 +24,7 @@ BARS = T.StructType(
 # Argument vocabularies, and the only date format accepted as text.
 PERIODS = ("Year", "Month", "Week")
 PRICE_TYPES = ("Open", "Close")
-DATE_FORMAT = "yyyy-MM-dd"
+DATE_FORMAT = "yyyy-MM-dd"  # for Spark; as_date has the same for Python
 
 # Decimal is left out on purpose: profiles and correlations cover these only.
 NUMERIC_TYPES = (
@@ -42,18 +42,21 @@ def conform(df: DataFrame) -> DataFrame:
 
     Text that does not parse becomes NULL. Columns that already have the right
     type are left untouched, so filters on them still reach a Parquet scan.
-    Further columns are carried through.
+    Names are matched like Spark does, whatever their case, and come out as in
+    ``BARS``. Further columns are carried through.
     """
-    missing = [f.name for f in BARS if f.name not in df.columns]
+    have = {f.name.lower(): f for f in df.schema}
+    missing = [f.name for f in BARS if f.name.lower() not in have]
     if missing:
         raise ValueError(f"bars lack the columns {missing}; found {df.columns}")
-    have = {f.name: f.dataType for f in df.schema}
     fixed = {}
     for field in BARS:
-        if have[field.name] == field.dataType:
-            continue
-        column = F.col(field.name)
-        if field.name == "Date" and isinstance(have["Date"], T.StringType):
+        found = have[field.name.lower()]
+        column = named(found.name)
+        if found.dataType == field.dataType:
+            if found.name != field.name:
+                fixed[field.name] = column
+        elif field.name == "Date" and isinstance(found.dataType, T.StringType):
             fixed["Date"] = F.try_to_date(column, DATE_FORMAT)
         else:
             fixed[field.name] = column.try_cast(field.dataType)
@@ -82,19 +85,19 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def as_date(value: date | datetime | str) -> date:
-    """A ``date`` from a date, a datetime or ISO text."""
+    """A ``date`` from a date, a datetime or text like 2020-01-31."""
     if isinstance(value, datetime):
         return value.date()
     if isinstance(value, date):
         return value
     if isinstance(value, str):
-        return date.fromisoformat(value)
+        return datetime.strptime(value, "%Y-%m-%d").date()
     raise ValueError(f"not a date: {value!r}")
 
 
 def as_list(value: object | Iterable) -> list:
     """A list from one value or several; a string counts as one value."""
-    if isinstance(value, (str, int)):
+    if isinstance(value, str) or not isinstance(value, Iterable):
         return [value]
     return list(value)
 

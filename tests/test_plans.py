@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 
 from barloom import operators as op
-from barloom.plans.queries import status_bars, supplier_bars
+from barloom.plans.queries import event_bars, status_bars, supplier_bars
 from tests.conftest import closes
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -124,6 +124,19 @@ def hints(df) -> str:
     return df._jdf.queryExecution().analyzed().toString()
 
 
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables here")
+def test_trades_are_combined_before_they_are_shuffled(spark):
+    """Read from the top: final aggregate, one exchange, partial aggregate, scan."""
+    steps = {
+        status_bars: ["SortAggregate", "Exchange", "SortAggregate", "FileScan"],
+        supplier_bars: ["SortAggregate", "Exchange", "SortAggregate", "FileScan"],
+        event_bars: ["HashAggregate", "Exchange", "HashAggregate", "FileScan"],
+    }
+    for source, expected in steps.items():
+        found = re.findall(r"SortAggregate|HashAggregate|Exchange|FileScan", plan(source(spark, SF_DIR)))
+        assert found == expected
+
+
 @pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables here")
 def test_date_conditions_pass_through_the_roll_up(spark):
     for name in ("range_change", "return_rate", "price_changes", "volume_ratio", "bollinger_bands"):

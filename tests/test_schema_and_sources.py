@@ -70,12 +70,22 @@ def test_conform_keeps_right_types_and_converts_others(spark):
     assert conform(fixed) is fixed
 
 
+def test_conform_matches_names_whatever_their_case(spark):
+    raw = spark.sql(
+        "SELECT 'A' Company_Name, '2020-01-05' `date`, 1D open, 2D HIGH, 3D low, 4D close, 5L volume, 6 Rest"
+    )
+    fixed = conform(raw)
+    assert fixed.columns == [*BARS.names, "Rest"]
+    assert tuple(fixed.first()) == ("A", date(2020, 1, 5), 1.0, 2.0, 3.0, 4.0, 5, 6)
+
+
 def test_argument_checks(make):
-    assert as_date("2020-01-05") == as_date(datetime(2020, 1, 5, 9)) == date(2020, 1, 5)
+    assert as_date("2020-1-5") == as_date("2020-01-05") == as_date(datetime(2020, 1, 5, 9)) == date(2020, 1, 5)
     assert as_list("A") == ["A"] and as_list(2020) == [2020] and as_list(("A", "B")) == ["A", "B"]
     bars = make([bar()])
     for wrong in (
         lambda: as_date(5),
+        lambda: as_date("05/01/2020"),
         lambda: check_price_type("High"),
         lambda: rsi(bars, window_size=0),
         lambda: between_dates(bars, "2020-02-01", "2020-01-01"),
