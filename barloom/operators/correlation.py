@@ -32,10 +32,10 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     """``(col_a, col_b, corr)`` for every ordered pair of numeric columns.
 
     Each unordered pair is computed once. Rows are spread into one record per
-    pair and aggregated by pair, with at most one partial result per pair and
-    task to shuffle. One wide aggregation over all pairs would be the same
-    plan with less rows, but its generated code outgrows the JIT compiler and
-    runs about ten times slower from some eight columns on.
+    pair and aggregated by pair, so a task shuffles one partial result per pair.
+    One wide aggregation over all pairs needs no such records, but with eight
+    columns its generated code no longer compiled to machine code and took
+    about ten times as long.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
     if not names:
