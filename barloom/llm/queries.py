@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import simhash
+from barloom.llm import crosspolytope, simhash
 from barloom.llm.common import read_table
 
 
@@ -17,8 +17,13 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return crosspolytope.near_duplicate_vectors(vectors, least=0.9)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_simhash": op4_simhash}
+    return {"op4_simhash": op4_simhash, "op6_cross_polytope": op6_cross_polytope}
 
 
 def llm_sql() -> dict[str, str]:
