@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import crosspolytope, simhash
-from barloom.llm.common import read_table
+from barloom.llm import crosspolytope, langid, simhash
+from barloom.llm.common import crc_part, read_table
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,8 +22,16 @@ def op6_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosspolytope.near_duplicate_vectors(vectors, least=0.9)
 
 
+def op7_centroid_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_part("doc_id", 4) == 2, F.lit(False))
+    model = langid.fit(langid.training_rows(docs, held_out))
+    found = langid.predict(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_simhash": op4_simhash, "op6_cross_polytope": op6_cross_polytope}
+    return {"op4_simhash": op4_simhash, "op6_cross_polytope": op6_cross_polytope, "op7_centroid_langid": op7_centroid_langid}
 
 
 def llm_sql() -> dict[str, str]:
