@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import crosspolytope, langid, simhash
+from barloom.llm import crosspolytope, langid, mixing, simhash
 from barloom.llm.common import crc_part, read_table
 
 
+def op3_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return mixing.mix(docs, weights=(5.0, 2.0, 1.0), share=1.5, max_epochs=2.0)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = simhash.near_duplicate_fingerprints(docs, words=3, radius=2)
@@ -31,7 +36,7 @@ def op7_centroid_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_simhash": op4_simhash, "op6_cross_polytope": op6_cross_polytope, "op7_centroid_langid": op7_centroid_langid}
+    return {"op3_water_filling": op3_water_filling, "op4_simhash": op4_simhash, "op6_cross_polytope": op6_cross_polytope, "op7_centroid_langid": op7_centroid_langid}
 
 
 def llm_sql() -> dict[str, str]:
