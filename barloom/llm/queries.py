@@ -7,10 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import crosspolytope, langid, mixing, simhash
+from barloom.llm import crosspolytope, langid, mixing, simhash, toxicity
 from barloom.llm.common import crc_part, read_table
 
 
+def op2_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(crc_part("doc_id", 3) != 1))
+    found = toxicity.score(docs, model)
+    spans = F.transform("offending", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return found.select(
+        "doc_id",
+        F.coalesce(crc_part("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.concat_ws(",", spans).alias("offending"),
+    )
+
+
 def op3_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return mixing.mix(docs, weights=(5.0, 2.0, 1.0), share=1.5, max_epochs=2.0)
@@ -36,7 +50,7 @@ def op7_centroid_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_water_filling": op3_water_filling, "op4_simhash": op4_simhash, "op6_cross_polytope": op6_cross_polytope, "op7_centroid_langid": op7_centroid_langid}
+    return {"op2_noisy_or_toxicity": op2_noisy_or_toxicity, "op3_water_filling": op3_water_filling, "op4_simhash": op4_simhash, "op6_cross_polytope": op6_cross_polytope, "op7_centroid_langid": op7_centroid_langid}
 
 
 def llm_sql() -> dict[str, str]:
