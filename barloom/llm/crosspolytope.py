@@ -11,7 +11,8 @@ leave them as counts and spanning forests, never as all pairs.
 
 No pair below the threshold is ever linked. A pair above it is missed only if it meets in no table;
 with the default parameters pairs at cosine 0.9 in 64 dimensions meet with probability over 0.99.
-Use 3 hashes instead of 2 from some hundred million vectors on, so that cells stay small.
+Vectors travel packed, in
+the precision they came in. Use 3 hashes instead of 2 from some hundred million vectors on, so that cells stay small.
 
 Edge cases: vectors that are NULL, empty, zero, or hold NULL or non-finite components link with
 nothing, nor do vectors of different length or rows without vec_id. Rows that repeat a vector are
@@ -83,51 +84,63 @@ def usable(vector: str) -> F.Column:
     return F.coalesce(F.col(vector).isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def _packed(x: np.ndarray) -> pa.Array:
+    """The rows of ``x`` as binary values."""
+    data = np.ascontiguousarray(x)
+    size = data[0].nbytes
+    offsets = np.arange(0, data.nbytes + 1, size, dtype=np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
 def _hashed(vectors: DataFrame, tables: int, hashes: int, probes: int) -> DataFrame:
+    """Vectors as ``(node, weight, dim, data, codes, home, probed)``; data and codes are packed."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column("vector")
+            nodes, weights, column = batch.columns
             sizes = np.diff(column.offsets.to_numpy())
             flat = column.flatten().to_numpy(zero_copy_only=False)
             starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             for width in np.unique(sizes):
                 here = np.flatnonzero(sizes == width)
-                x = flat[starts[here][:, None] + np.arange(width)[None, :]].astype(np.float64)
-                home, probed = cells(x, tables, hashes, probes)
-                part = batch.take(pa.array(here))
-                lists = [
-                    pa.ListArray.from_arrays(np.arange(0, a.size + 1, a[0].size, dtype=np.int32), a.reshape(-1))
-                    for a in (home, probed)
-                ]
-                yield pa.RecordBatch.from_arrays([*part.columns, *lists], names=[*part.schema.names, "home", "probed"])
+                x = flat[starts[here][:, None] + np.arange(width)[None, :]]
+                home, probed = cells(x.astype(np.float64), tables, hashes, probes)
+                both = np.concatenate([home, probed.reshape(len(x), -1)], axis=1)
+                step = np.arange(0, home.size * max(1, probes) + 1, dtype=np.int32)
+                lists = [pa.ListArray.from_arrays(step[: a.size + 1 : a[0].size], a.reshape(-1)) for a in (home, probed)]
+                yield pa.RecordBatch.from_arrays(
+                    [nodes.take(here), weights.take(here), pa.array(np.full(len(x), width, np.int32)), _packed(x), _packed(both), *lists],
+                    names=["node", "weight", "dim", "data", "codes", "home", "probed"],
+                )
 
-    return vectors.mapInArrow(run, "node long, weight long, vector array<double>, home array<long>, probed array<long>")
+    shape = "node long, weight long, dim int, data binary, codes binary, home array<long>, probed array<long>"
+    return vectors.mapInArrow(run, shape)
 
 
-def link_vectors(vectors: DataFrame, least: float = 0.9, tables: int = 6, hashes: int = 2, probes: int = 6) -> DataFrame:
-    """Links among distinct ``(node long, weight long, vector array<double>)``.
+def link_vectors(vectors: DataFrame, least: float = 0.9, tables: int = 6, hashes: int = 2, probes: int = 2) -> DataFrame:
+    """Links among distinct ``(node long, weight long, vector array<float or double>)``.
 
     Gives rows ``(src, dst, links)``: a spanning link where ``dst`` is set, else a part of the sum
     of the weights of the vectors linked with ``src``.
     """
+    number = np.float32 if vectors.schema["vector"].dataType.elementType.simpleString() == "float" else np.float64
     hashed = durable(_hashed(vectors.select("node", "weight", "vector"), tables, hashes, probes))
-    at_home = hashed.select("*", F.posexplode("home").alias("table", "cell")).withColumn("is_home", F.lit(True))
+    carried = ["node", "weight", "dim", "data", "codes"]
+    at_home = hashed.select(*carried, F.posexplode("home").alias("table", "cell")).withColumn("is_home", F.lit(True))
     nearby = (
-        hashed.select("*", F.posexplode("probed").alias("at", "cell"))
-        .withColumn("table", F.floor(F.col("at") / probes).cast("int"))
+        hashed.select(*carried, F.posexplode("probed").alias("at", "cell"))
+        .withColumn("table", F.floor(F.col("at") / max(1, probes)).cast("int"))
         .withColumn("is_home", F.lit(False))
         .drop("at")
     )
-    rows = at_home.unionByName(nearby).select(
-        F.size("vector").alias("dim"), "table", "cell", F.lit(0).alias("band"), "is_home", "node", "weight", "vector", "home", "probed"
-    )
-    payload = ["is_home", "node", "weight", "vector", "home", "probed"]
+    rows = at_home.unionByName(nearby).withColumn("band", F.lit(0))
+    payload = ["is_home", "node", "weight", "data", "codes"]
     units = tile_units(rows, ["dim", "table", "cell"], payload, F.xxhash64("node"), 0, tile=1024)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims, places, codes = (batch.column(c).to_pylist() for c in ("dim", "table", "cell"))
-            sides = [_flat(batch.column(c), tables, probes) for c in ("left", "right")]
+            sides = [_flat(batch.column(c), tables, probes, number) for c in ("left", "right")]
             out: list[tuple[np.ndarray, np.ndarray]] = []
             counts: list[tuple[np.ndarray, np.ndarray]] = []
             for at in range(len(batch)):
@@ -146,21 +159,22 @@ def link_vectors(vectors: DataFrame, least: float = 0.9, tables: int = 6, hashes
     return units.select("dim", "table", "cell", "left", "right").mapInArrow(run, "src long, dst long, links long")
 
 
-def _flat(column: pa.ListArray, tables: int, probes: int) -> dict:
+def _flat(column: pa.ListArray, tables: int, probes: int, number: type) -> dict:
     """The items of a column of lists as numpy arrays, with the start of each list."""
     items = column.flatten()
     sizes = np.array([len(x) if x.is_valid else 0 for x in column], dtype=np.int64)
-    get = lambda name: items.field(name)
-    widths = np.diff(get("vector").offsets.to_numpy()) if len(items) else np.zeros(0, np.int64)
+    data, codes = items.field("data"), items.field("codes")
+    codes = np.frombuffer(b"".join(codes.to_pylist()), dtype=np.int64).reshape(len(items), tables * (1 + probes))
+    widths = np.array([len(x) for x in data.to_pylist()], dtype=np.int64) // np.dtype(number).itemsize
     return {
         "starts": np.concatenate([[0], np.cumsum(sizes)]),
         "at": np.concatenate([[0], np.cumsum(widths)]),
-        "is_home": get("is_home").to_numpy(zero_copy_only=False).astype(bool),
-        "node": get("node").to_numpy(zero_copy_only=False),
-        "weight": get("weight").to_numpy(zero_copy_only=False),
-        "vector": get("vector").flatten().to_numpy(zero_copy_only=False),
-        "home": get("home").flatten().to_numpy(zero_copy_only=False).reshape(-1, tables),
-        "probed": get("probed").flatten().to_numpy(zero_copy_only=False).reshape(-1, tables, probes),
+        "is_home": items.field("is_home").to_numpy(zero_copy_only=False).astype(bool),
+        "node": items.field("node").to_numpy(zero_copy_only=False),
+        "weight": items.field("weight").to_numpy(zero_copy_only=False),
+        "vector": np.frombuffer(b"".join(data.to_pylist()), dtype=number),
+        "home": codes[:, :tables],
+        "probed": codes[:, tables:].reshape(-1, tables, probes),
     }
 
 
@@ -170,7 +184,7 @@ def _verify(sides: list[dict], at: int, dim: int, table: int, cell: int, least:
     for side in sides:
         low, high = side["starts"][at], side["starts"][at + 1]
         if high > low:
-            x = side["vector"][side["at"][low] : side["at"][high]].reshape(-1, dim)
+            x = side["vector"][side["at"][low] : side["at"][high]].reshape(-1, dim).astype(np.float64)
             picked.append((side, slice(low, high), x, np.sqrt(np.einsum("ij,ij->i", x, x))))
     (one, i_rows, x, x_norm), (two, j_rows, y, y_norm) = picked[0], picked[-1]
     close = x @ y.T >= least * x_norm[:, None] * y_norm[None, :]
@@ -209,7 +223,7 @@ def _first_meeting(one: dict, two: dict, i: np.ndarray, j: np.ndarray, table: in
 
 
 def near_duplicate_vectors(
-    rows: DataFrame, least: float = 0.9, tables: int = 6, hashes: int = 2, probes: int = 6, id_col: str = "vec_id", vector_col: str = "embedding"
+    rows: DataFrame, least: float = 0.9, tables: int = 6, hashes: int = 2, probes: int = 2, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for every row.
 
@@ -217,7 +231,7 @@ def near_duplicate_vectors(
     kept marks the row that stands for its component. A row without vec_id has no links, no
     component, and is not kept.
     """
-    every = rows.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    every = rows.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("vector"))
     fit = usable("vector") & F.col("vec_id").isNotNull()
     good = every.filter(fit)
     classes = durable(good.groupBy("vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight")))

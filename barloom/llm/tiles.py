@@ -12,8 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.common import durable
+
 # Rows of a tile. A unit holds two at most.
 TILE = 2048
+# Crowded cells up to this many are broadcast; more are joined by a shuffle.
+BROADCAST_CELLS = 20_000
 
 
 def tile_units(rows: DataFrame, cell: list[str], payload: list[str], salt: Column, reach: int, tile: int = TILE) -> DataFrame:
@@ -23,21 +27,25 @@ def tile_units(rows: DataFrame, cell: list[str], payload: list[str], salt: Colum
     one tile ``right`` is NULL and rows of ``left`` are to be compared with each other; else each
     row of ``left`` with each of ``right``. Every pair of rows that shares a cell and whose bands
     differ by ``reach`` at most meets in exactly one unit. ``salt`` spreads the rows of a band over
-    its tiles and should differ between rows.
+    its tiles and should differ between rows. Only rows of crowded cells are shuffled twice.
     """
-    bands = rows.groupBy(*cell, "band").agg(F.count("*").alias("n"))
-    cells = (
-        bands.groupBy(*cell)
+    crowded = durable(
+        rows.groupBy(*cell, "band")
+        .agg(F.count("*").alias("n"))
+        .groupBy(*cell)
         .agg(
             F.sum("n").alias("total"),
             F.collect_list(F.struct("band", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))).alias("bands"),
         )
-        .filter("total > 1")
+        .filter(F.col("total") > tile)
+        .drop("total")
     )
-    found = rows.join(cells, cell)
+    side = F.broadcast(crowded) if crowded.count() <= BROADCAST_CELLS else crowded
     item = F.struct(*payload)
 
-    small = found.filter(F.col("total") <= tile).groupBy(*cell).agg(F.collect_list(item).alias("left"))
+    small = (
+        rows.join(side.select(*cell), cell, "left_anti").groupBy(*cell).agg(F.collect_list(item).alias("left")).filter(F.size("left") > 1)
+    )
     small = small.withColumn("right", F.lit(None).cast(small.schema["left"].dataType))
 
     own = F.expr("filter(bands, b -> b.band = band)[0].tiles")
@@ -46,11 +54,10 @@ def tile_units(rows: DataFrame, cell: list[str], payload: list[str], salt: Colum
             b -> transform(sequence(0, b.tiles - 1), s -> struct(b.band as band, s as part))))"""
     )
     cut = (
-        found.filter(F.col("total") > tile)
+        rows.join(side, cell)
         .withColumn("part", F.pmod(salt, own).cast("int"))
         .groupBy(*cell, "band", "part")
-        .agg(F.collect_list(item).alias("rows"))
-        .join(cells.filter(F.col("total") > tile).select(*cell, "bands"), cell)
+        .agg(F.first("bands").alias("bands"), F.collect_list(item).alias("rows"))
         .withColumn("me", F.struct("band", "part"))
         .withColumn("other", F.explode(near))
     )
