@@ -36,6 +36,14 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def sized(kept: DataFrame, limit: int = 200_000) -> DataFrame:
+    """``kept``, a durable frame of narrow rows, marked for broadcast if it has ``limit`` rows at most.
+
+    A larger frame is left as it is, for a join by shuffle.
+    """
+    return F.broadcast(kept) if kept.count() <= limit else kept
+
+
 def crc_part(doc_id: str | Column, n: int) -> Column:
     """crc32 of the id written as text, modulo ``n``; NULL for a NULL id."""
     doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import crosspolytope, langid, mixing, simhash, toxicity
+from barloom.llm import crosspolytope, decontamination, langid, mixing, simhash, toxicity
 from barloom.llm.common import crc_part, read_table
 
 
@@ -36,6 +36,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_seeded_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.round("score", 6).alias("score"), "start")
+
+
 def op6_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     return crosspolytope.near_duplicate_vectors(vectors, least=0.9)
@@ -50,7 +55,7 @@ def op7_centroid_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_noisy_or_toxicity": op2_noisy_or_toxicity, "op3_water_filling": op3_water_filling, "op4_simhash": op4_simhash, "op6_cross_polytope": op6_cross_polytope, "op7_centroid_langid": op7_centroid_langid}
+    return {"op2_noisy_or_toxicity": op2_noisy_or_toxicity, "op3_water_filling": op3_water_filling, "op4_simhash": op4_simhash, "op5_seeded_alignment": op5_seeded_alignment, "op6_cross_polytope": op6_cross_polytope, "op7_centroid_langid": op7_centroid_langid}
 
 
 def llm_sql() -> dict[str, str]:
