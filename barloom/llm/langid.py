@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import durable
+from barloom.llm.common import durable, sized
 
 UNKNOWN = "und"
 # Buckets of the hashed n-grams.
@@ -132,7 +132,7 @@ def fit(docs: DataFrame, clusters: int = 4, sample: int = 1000, quantile: float
     chosen = (
         rows.select("lang", "doc_id").withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= sample).select("lang", "doc_id").distinct()
     )
-    picked = rows.join(chosen, ["lang", "doc_id"])
+    picked = rows.join(sized(durable(chosen)), ["lang", "doc_id"])
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
