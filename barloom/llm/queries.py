@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import crosspolytope, decontamination, langid, mixing, simhash, toxicity
+from barloom.llm import crosspolytope, decontamination, langid, mixing, pii, simhash, toxicity
 from barloom.llm.common import crc_part, read_table
 
 
@@ -54,8 +54,23 @@ def op7_centroid_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op8_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(read_table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_noisy_or_toxicity": op2_noisy_or_toxicity, "op3_water_filling": op3_water_filling, "op4_simhash": op4_simhash, "op5_seeded_alignment": op5_seeded_alignment, "op6_cross_polytope": op6_cross_polytope, "op7_centroid_langid": op7_centroid_langid}
+    return {
+        query.__name__: query
+        for query in (
+            op2_noisy_or_toxicity,
+            op3_water_filling,
+            op4_simhash,
+            op5_seeded_alignment,
+            op6_cross_polytope,
+            op7_centroid_langid,
+            op8_weak_supervision_pii,
+        )
+    }
 
 
 def llm_sql() -> dict[str, str]:
