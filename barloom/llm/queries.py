@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import crosspolytope, decontamination, langid, mixing, pii, simhash, toxicity
+from barloom.llm import crosspolytope, decontamination, langid, mixing, oracle, pii, simhash, toxicity, urls
 from barloom.llm.common import crc_part, read_table
 
 
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op1_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op2_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.filter(crc_part("doc_id", 3) != 1))
@@ -62,6 +69,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         query.__name__: query
         for query in (
+            op1_redirect_equivalence,
             op2_noisy_or_toxicity,
             op3_water_filling,
             op4_simhash,
@@ -74,4 +82,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_sql() -> dict[str, str]:
-    return {}
+    return {"op1_redirect_equivalence": oracle.OP1, "op6_cross_polytope": oracle.OP6}
