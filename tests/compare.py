@@ -77,7 +77,7 @@ def differences(df, relation, exact: bool = False) -> str | None:
     types = {f.name: f.dataType.simpleString() for f in df.schema}
     expected = {
         "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
-        "date": "DATE",
+        "date": "DATE", "boolean": "BOOLEAN",
     }
     found = {c: str(t) for c, t in zip(relation.columns, relation.types)}
     wrong = {c: (t, found[c]) for c, t in types.items() if expected.get(t, t) != found[c]}
