@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import crosspolytope, decontamination, langid, mixing, oracle, pii, simhash, toxicity, urls
-from barloom.llm.common import crc_part, read_table
+from barloom.llm import crosspolytope, decontamination, langid, mixing, oracle, pii, simhash, toxicity, urls, warc
+from barloom.llm.common import crc_part, read_table, shared_dir
 
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -65,6 +66,13 @@ def op8_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(read_table(spark, sf_dir, "documents"))
 
 
+def op10_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write(read_table(spark, sf_dir, "pages"), folder)
+    found = warc.read(spark, folder)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         query.__name__: query
@@ -77,9 +85,10 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op6_cross_polytope,
             op7_centroid_langid,
             op8_weak_supervision_pii,
+            op10_sharded_warc,
         )
     }
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op1_redirect_equivalence": oracle.OP1, "op6_cross_polytope": oracle.OP6}
+    return {"op1_redirect_equivalence": oracle.OP1, "op6_cross_polytope": oracle.OP6, "op10_sharded_warc": oracle.OP10}
