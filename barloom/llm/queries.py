@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import crosspolytope, decontamination, langid, mixing, oracle, pii, simhash, toxicity, urls, warc
+from barloom.llm import crosspolytope, decontamination, langid, mixing, oracle, pii, simhash, tokens, toxicity, urls, warc
 from barloom.llm.common import crc_part, read_table, shared_dir
 
 
@@ -66,6 +66,27 @@ def op8_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(read_table(spark, sf_dir, "documents"))
 
 
+def op9_delta_rollup(spark: SparkSession, sf_dir: str, vocabulary: str = "/opt/tokenizers/byte_bpe_50k.tiktoken") -> DataFrame:
+    """Counts all documents under two tokenizer versions, then applies what ``labels`` says of them:
+    toxic ones are deleted, ones of low quality are revised to their count without repeated lines.
+    The second batch is sent twice, as after a lost answer."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    labels = read_table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+
+    def counts(rows: DataFrame) -> DataFrame:
+        return tokens.bpe_counts(rows, vocabulary, "byte_bpe_50k").unionByName(tokens.word_counts(rows))
+
+    rollup = tokens.Rollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}")
+    rollup.apply("000-load", tokens.changes(counts(docs), "insert"))
+    found = rollup.ledger().join(labels, "doc_id")
+    deleted = found.filter("toxic = 1").select("doc_id", "source", "lang", "version", "tokens")
+    poor = docs.join(labels.filter("quality = 0 and coalesce(toxic, 0) != 1").select("doc_id"), "doc_id", "left_semi")
+    revised = tokens.changes(counts(tokens.without_repeated_lines(poor)), "revise")
+    for _ in range(2):
+        rollup.apply("001-labels", tokens.changes(deleted, "delete").unionByName(revised))
+    return rollup.totals()
+
+
 def op10_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     warc.write(read_table(spark, sf_dir, "pages"), folder)
@@ -85,6 +106,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op6_cross_polytope,
             op7_centroid_langid,
             op8_weak_supervision_pii,
+            op9_delta_rollup,
             op10_sharded_warc,
         )
     }
