@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import durable
+from barloom.llm.common import durable, sized
 from barloom.llm.components import connected_components
 from barloom.llm.tiles import tile_units
 
@@ -208,18 +208,23 @@ def sketch(hashes: np.ndarray, width: int) -> tuple[int, np.ndarray]:
 
 
 def sketches(docs: DataFrame, words: int, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n, sketch binary)``: distinct shingles and the fingerprint of every row."""
+    """``(doc_id, text_key, n, sketch binary)``: md5, distinct shingles and fingerprint of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sketch(shingle_hashes(t.as_py(), words), width) for t in batch.column(1)]
+            found = [sketch(shingle_hashes(t.as_py(), words), width) for t in batch.column(2)]
             sizes = pa.array([n for n, _ in found], pa.int32())
             data = pa.array([s.tobytes() for _, s in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, data], names=["doc_id", "n", "sketch"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], sizes, data], names=["doc_id", "text_key", "n", "sketch"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, f"doc_id {kind}, n int, sketch binary")
+    text = F.col(text_col).cast("string")
+    source = docs.select(F.col(id_col).alias("doc_id"), text_key(text).alias("text_key"), text.alias("text"))
+    return source.mapInArrow(run, f"doc_id {kind}, text_key string, n int, sketch binary")
+
+
+def text_key(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
 
 
 def similarity(n_one: np.ndarray, n_two: np.ndarray, apart: np.ndarray, bits: int) -> np.ndarray:
@@ -283,7 +288,7 @@ def _side(items: pa.StructArray, width: int) -> tuple[np.ndarray, np.ndarray, np
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, width: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, key, component_id)``: groups of texts with Jaccard >= ``least`` on shingles.
+    """``(doc_id, text_key, key, component_id)``: groups of texts with Jaccard >= ``least`` on shingles.
 
     Similarity is read off fingerprints of 64 * ``width`` bits, with a standard deviation of about
     0.04 at 512 bits; equal shingle sets always group. ``key`` tells different sketches apart.
@@ -295,21 +300,36 @@ def near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, width:
     values = durable(values)
     linked = durable(connected_components(link_similar(values, least, width)))
     named = values.select(F.col("node").alias("key"), "least")
-    return _with_component(marked.select("doc_id", "key"), named, linked, "key")
+    return _with_component(marked.select("doc_id", "text_key", "key"), named, linked, "key")
 
 
-def keep_one_each(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each group the row with the smallest id.
+def keep_one_each(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, ...) without near-duplicates: one row of each group.
 
-    Rows that repeat the kept doc_id count as copies too and leave one row. Rows without a doc_id
-    stay only if their group has no doc_id at all, one row for each different text.
+    That is the row with the smallest doc_id; where rows share that id, one of them. Rows without
+    doc_id stay only if their group has no doc_id at all, one row for each different shingle set.
     """
-    groups = near_duplicates(docs, words, least, id_col=id_col)
-    kept = groups.filter("doc_id <=> component_id").groupBy("doc_id").agg(F.count("*").alias("_copies"))
-    ids = kept.select(F.col("doc_id").alias("_kept"), "_copies")
-    found = docs.join(ids, docs[id_col].eqNullSafe(ids["_kept"]))
-    once = found.filter("_copies = 1").select(docs.columns)
-    again = found.filter("_copies > 1")
-    named = again.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    unnamed = again.filter(F.col(id_col).isNull()).dropDuplicates(["text"])
-    return once.unionByName(named.select(docs.columns)).unionByName(unnamed.select(docs.columns))
+    groups = near_duplicates(docs, words, least)
+    texts = durable(
+        groups.groupBy("doc_id", "text_key").agg(F.first("key").alias("key"), F.first("component_id").alias("component_id"), F.count("*").alias("copies"))
+    )
+    kept = (
+        texts.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("key")).alias("unnamed"))
+        .agg(F.min(F.struct("text_key", "copies")).alias("best"))
+        .select(F.col("doc_id").alias("_id"), F.col("best.text_key").alias("_key"), F.col("best.copies").alias("_copies"))
+    )
+    marks = durable(
+        texts.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
+        .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), (F.coalesce("_copies", F.lit(0)) > 1).alias("_again"), F.col("_copies").isNull().alias("_drop"))
+        .filter("_again or _drop")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key(F.col("text").cast("string")) == F.col("_key"))
+    once = docs.join(sized(marks.select("_id", "_key")), same, "left_anti")
+    again = durable(marks.filter("_again").select("_id", "_key"))
+    if again.isEmpty():
+        return once
+    # Rows that repeat both id and text: one of each is kept.
+    repeated = docs.join(sized(again), same, "left_semi")
+    first = repeated.withColumn("_key", text_key(F.col("text").cast("string"))).dropDuplicates(["doc_id", "_key"]).drop("_key")
+    return once.unionByName(first)
