@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,25 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped_to: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for each application, where it need not be installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped_to:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="barloom-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped_to.add(context.applicationId)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barloom.llm import decontamination, langid, mixing, pii, simhash
 from barloom.llm.common import read_table, shared_dir
@@ -34,8 +35,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in a text are replaced by their kind; every document stays."""
-    return pii.redacted(docs)
+    """Personal data in a text are replaced by their kind; every document stays.
+
+    ``n_chars`` follows the text.
+    """
+    return pii.redacted(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
