@@ -23,8 +23,14 @@ def newest_first() -> WindowSpec:
 YEAR = "_year"
 
 
+def dated(bars: DataFrame) -> DataFrame:
+    """Bars that have a company and a date; others have no place along a window."""
+    return bars.filter(F.col("company_name").isNotNull() & F.col("Date").isNotNull())
+
+
 def with_year(bars: DataFrame) -> DataFrame:
-    return bars.withColumn(YEAR, F.year("Date"))
+    """Bars that have a company and a date, with their year."""
+    return dated(bars).withColumn(YEAR, F.year("Date"))
 
 
 def in_year() -> WindowSpec:

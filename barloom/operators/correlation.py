@@ -9,15 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.functions.prices import ratio
-from barloom.schema import named, numeric_columns
+from barloom.schema import as_list, named, numeric_columns
 
 PAIRS_SCHEMA = "company_a string, company_b string"
 
-# A pair list longer than this is joined by shuffle instead of broadcast.
-BROADCAST_PAIRS = 100_000
-# A pair list up to this length also becomes a filter that reaches the scan.
-FILTER_PAIRS = 1_000
-
 
 def pearson(x: Column, y: Column) -> Column:
     """Correlation over the rows where both sides are present and not NaN;
@@ -32,51 +27,72 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     """``(col_a, col_b, corr)`` for every ordered pair of numeric columns.
 
     Each unordered pair is computed once. Rows are spread into one record per
-    pair and aggregated by pair, so a task shuffles one partial result per pair.
-    One wide aggregation over all pairs needs no such records, but with eight
-    columns its generated code no longer compiled to machine code and took
-    about ten times as long.
+    column, which holds the column and the half of the others that follow it in
+    a circle, and aggregated by column: records grow with the columns, and a
+    task shuffles one partial result per column. One aggregation over all pairs
+    needs no records, but with eight columns its generated code no longer
+    compiled to machine code and took about ten times as long.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
     if not names:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    n = len(names)
+    # Partner k of column i is column i + k, around the circle. Half way round each pair is met
+    # from both ends if n is even; then only the first half of the columns keeps it.
+    places = range(1, n // 2 + 1)
+    kept = [[k for k in places if 2 * k < n or i < n // 2] for i in range(n)]
     records = F.array(
         *(
             F.struct(
-                F.lit(n).alias("pair"),
-                named(a).cast("double").alias("x"),
-                named(b).cast("double").alias("y"),
+                F.lit(i + 1).alias("place"),
+                named(name).cast("double").alias("x"),
+                *(
+                    (named(names[(i + k) % n]).cast("double") if k in kept[i] else F.lit(None).cast("double")).alias(f"y{k}")
+                    for k in places
+                ),
             )
-            for n, (a, b) in enumerate(pairs, start=1)
+            for i, name in enumerate(names)
         )
     )
     cells = F.array(
         *(
             F.array(
+                F.struct(F.lit(a).alias("col_a"), F.lit(a).alias("col_b"), F.lit(0).alias("partner")),
                 *(
-                    F.struct(F.lit(left).alias("col_a"), F.lit(right).alias("col_b"))
-                    for left, right in dict.fromkeys([(a, b), (b, a)])
-                )
+                    F.struct(F.lit(left).alias("col_a"), F.lit(right).alias("col_b"), F.lit(k).alias("partner"))
+                    for k in kept[i]
+                    for left, right in ((a, names[(i + k) % n]), (names[(i + k) % n], a))
+                ),
             )
-            for a, b in pairs
+            for i, a in enumerate(names)
         )
     )
+    x = F.col("x")
+    varies = F.stddev_samp(F.when(~F.isnan(x), x)) > 0
+    found = [F.when(varies, 1.0), *(pearson(x, F.col(f"y{k}")) for k in places)]
     return (
         df.select(F.inline(records))
-        .groupBy("pair")
-        .agg(pearson(F.col("x"), F.col("y")).alias("corr"))
-        .select(F.inline(F.element_at(cells, F.col("pair"))), "corr")
+        .groupBy("place")
+        .agg(F.array(*found).alias("found"))
+        .select("found", F.inline(F.element_at(cells, F.col("place"))))
+        .select("col_a", "col_b", F.get("found", F.col("partner")).alias("corr"))
     )
 
 
 def series_correlation(
-    left: DataFrame, right: DataFrame, *, on: str = "Date", value: str = "Value"
+    left: DataFrame, right: DataFrame, *, on: str | Sequence[str] = "Date", value: str = "Value"
 ) -> DataFrame:
-    """Correlation of two value series over the dates they share, as one row."""
-    a = left.select(on, F.col(value).alias("a"))
-    b = right.select(on, F.col(value).alias("b"))
-    return a.join(b, on).agg(pearson(F.col("a"), F.col("b")).alias("correlation"))
+    """Correlation of two value series over the keys they share, as one row.
+
+    ``on`` names one or several key columns. A series has one value for each
+    key: where rows repeat one, their mean counts, so the join multiplies none.
+    """
+    keys = as_list(on)
+
+    def once(series: DataFrame, name: str) -> DataFrame:
+        return series.groupBy(*keys).agg(F.avg(value).alias(name))
+
+    return once(left, "a").join(once(right, "b"), keys).agg(pearson(F.col("a"), F.col("b")).alias("correlation"))
 
 
 def pair_correlation(
@@ -86,25 +102,24 @@ def pair_correlation(
 ) -> DataFrame:
     """Correlation of the named pairs of companies over the dates they share.
 
-    The work is proportional to the pairs asked for: the first company's bars
-    are matched with the list, then with the second company's bars by company
-    and date. A list is broadcast up to ``BROADCAST_PAIRS`` entries; a longer
-    one, or a DataFrame of pairs, is left to Spark's own size check. Of a short
-    list only the companies named in it are read.
+    ``pairs`` is a list or a DataFrame ``(company_a, company_b)`` of any length,
+    treated alike: pairs with a NULL name are dropped and repeated ones count
+    once. Each side is cut to the companies it needs, then the first side is
+    matched with the pairs and with the second side by company and date. Whether
+    the pairs are broadcast is left to Spark's own size check.
     """
-    first = bars.select(F.col("company_name").alias("company_a"), "Date", F.col(value).alias("a"))
-    second = bars.select(F.col("company_name").alias("company_b"), "Date", F.col(value).alias("b"))
     if not isinstance(pairs, DataFrame):
-        wanted = list(pairs)
-        pairs = bars.sparkSession.createDataFrame(wanted, T.StructType.fromDDL(PAIRS_SCHEMA))
-        if len(wanted) <= BROADCAST_PAIRS:
-            pairs = F.broadcast(pairs)
-        if len(wanted) <= FILTER_PAIRS:
-            first = first.filter(F.col("company_a").isin(sorted({a for a, _ in wanted})))
-            second = second.filter(F.col("company_b").isin(sorted({b for _, b in wanted})))
+        pairs = bars.sparkSession.createDataFrame(list(pairs), T.StructType.fromDDL(PAIRS_SCHEMA))
+    pairs = pairs.select("company_a", "company_b").dropna().distinct()
+
+    def side(company: str, name: str) -> DataFrame:
+        rows = bars.select(F.col("company_name").alias(company), "Date", F.col(value).alias(name))
+        return rows.join(pairs.select(company).distinct(), company, "left_semi")
+
     return (
-        first.join(pairs, "company_a")
-        .join(second, ["company_b", "Date"])
+        side("company_a", "a")
+        .join(pairs, "company_a")
+        .join(side("company_b", "b"), ["company_b", "Date"])
         .groupBy("company_a", "company_b")
         .agg(pearson(F.col("a"), F.col("b")).alias("correlation"))
     )

@@ -1,8 +1,9 @@
 """RSI, Bollinger bands and the money flow index.
 
 RSI and money flow start afresh each January, so their windows are per company
-and year: at most 366 bars in a partition, and one company's history is spread
-over the cluster.
+and year: 366 bars in a partition if each day has one bar, and one company's
+history is spread over the cluster. Bars without company or date belong to no
+year and are left out.
 """
 
 from __future__ import annotations
@@ -61,8 +62,9 @@ def bollinger_bands(
 
     The mean and deviation at a date cover that date and the *newer* ones kept,
     so the newest row stands alone and has no deviation. Adds ``rank``,
-    ``moving_average``, ``std_dev``, ``upper_band`` and ``lower_band``. At most
-    ``n + 1`` rows per company, which bites only where dates repeat.
+    ``moving_average``, ``std_dev``, ``upper_band`` and ``lower_band``. Where
+    dates repeat, all rows of the ``n`` dates are kept; rows of a date share
+    their values.
     """
     check_price_type(price_type)
     latest = latest_days(select_bars(bars, companies), start, n)
@@ -72,11 +74,8 @@ def bollinger_bands(
             {
                 "moving_average": F.avg(price_type).over(newest_first()),
                 "std_dev": F.stddev_samp(price_type).over(newest_first()),
-                "_row": F.row_number().over(newest_first()),
             }
         )
-        .filter(F.col("_row") <= n + 1)
-        .drop("_row")
         .withColumns({"upper_band": centre + spread, "lower_band": centre - spread})
     )
 

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.frames import YEAR, by_date_in_year, in_year, with_year
+from barloom.functions.frames import YEAR, by_date_in_year, dated, in_year, with_year
 from barloom.functions.prices import ratio
 from barloom.operators.filters import select_bars
 from barloom.schema import as_date, check_range
@@ -34,10 +34,11 @@ def fibonacci_levels(
     per_year: bool = True,
 ) -> DataFrame:
     """``(company_name[, Year], level, price)``: five levels between the lowest
-    low and the highest high of a company, per year or over all of its bars."""
+    low and the highest high of a company, per year or over all of its bars.
+    Bars without company or date are left out."""
     keys = ["company_name", "Year"] if per_year else ["company_name"]
     return (
-        select_bars(bars, companies, years)
+        dated(select_bars(bars, companies, years))
         .withColumn("Year", F.year("Date"))
         .groupBy(*keys)
         .agg(F.min("Low").alias("lowest"), F.max("High").alias("highest"))
@@ -52,7 +53,7 @@ def fibonacci_overlay(
 ) -> DataFrame:
     """Each bar's close beside the levels of its company and year.
 
-    The range comes from a window over the company's year, at most 366 bars:
+    The range comes from a window over the company's year, 366 bars if a day has one:
     one scan and one shuffle, where joining the levels back would take two.
     """
     year = in_year()

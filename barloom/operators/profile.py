@@ -7,13 +7,14 @@ form, one row per column of the table.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.functions.calendar import period_label
-from barloom.functions.frames import by_date
+from barloom.functions.frames import by_date, dated
 from barloom.operators.filters import select_bars
 from barloom.schema import as_date, named, numeric_columns
 
@@ -103,26 +104,34 @@ def period_since(bars: DataFrame, start: object) -> DataFrame:
 
 
 def bar_spacing(bars: DataFrame) -> DataFrame:
-    """Adds ``gap_days`` and ``period`` since the previous bar of the company."""
-    return (
-        bars.withColumn("_previous", F.lag("Date").over(by_date()))
-        .withColumn("gap_days", F.datediff("Date", "_previous"))
-        .withColumn("period", period_label(F.col("_previous"), F.col("Date")))
-        .drop("_previous")
-    )
+    """Adds ``gap_days`` and ``period`` since the previous bar of the company.
+
+    Bars without company or date are left out."""
+    return _gaps(bars).withColumn("period", _gap_label())
+
+
+def _gaps(bars: DataFrame) -> DataFrame:
+    return dated(bars).withColumn("gap_days", F.datediff("Date", F.lag("Date").over(by_date())))
+
+
+def _gap_label() -> Column:
+    """Wording of ``gap_days``, which is all that the wording depends on."""
+    origin = F.lit(date(2000, 1, 1))
+    return period_label(origin, F.date_add(origin, F.col("gap_days")))
 
 
 def sampling_period(bars: DataFrame) -> DataFrame:
     """Most frequent spacing of each company's bars; the shortest on a tie."""
     spacing = (
-        bar_spacing(bars.select("company_name", "Date"))
+        _gaps(bars.select("company_name", "Date"))
         .filter("gap_days IS NOT NULL")
-        .groupBy("company_name", "gap_days", "period")
+        .groupBy("company_name", "gap_days")
         .agg(F.count("*").alias("n_gaps"))
     )
-    most_frequent = F.max(F.struct("n_gaps", -F.col("gap_days"), "gap_days", "period"))
+    most_frequent = F.max(F.struct("n_gaps", -F.col("gap_days"), "gap_days"))
     return (
         spacing.groupBy("company_name")
         .agg(most_frequent.alias("top"))
-        .select("company_name", "top.gap_days", "top.period", "top.n_gaps")
+        .select("company_name", "top.gap_days", "top.n_gaps")
+        .select("company_name", "gap_days", _gap_label().alias("period"), "n_gaps")
     )

@@ -1,7 +1,7 @@
 """Ranked and offset windows along each company's bars.
 
-Bars are one row per company and day, so a company's window partition holds no
-more rows than its history has days. The top-k operators keep ``rank <= k``
+If bars are one row per company and day (``schema.repeated_days`` tells), a
+company's window partition holds no more rows than its history has days. The top-k operators keep ``rank <= k``
 right above the window: Spark then cuts every map task to k dates per company
 before anything is shuffled.
 """
@@ -14,7 +14,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.frames import by_date, newest_first
+from barloom.functions.frames import by_date, dated, newest_first
 from barloom.operators.filters import before_date, between_dates, select_bars
 from barloom.schema import check_count, check_price_type
 
@@ -44,7 +44,7 @@ def price_changes(
     The range is cut first, so the first bar (day) and the first 30 bars
     (month) of each company are NULL.
     """
-    selected = between_dates(select_bars(bars, companies), start, end)
+    selected = dated(between_dates(select_bars(bars, companies), start, end))
 
     def change(bars_back: int):
         return F.col("Close") - F.lag("Close", bars_back).over(by_date())
@@ -76,8 +76,10 @@ def moving_average_asof(
 
 
 def moving_average_rolling(bars: DataFrame, n: int, price_type: str = "Close") -> DataFrame:
-    """Adds ``moving_average``: mean price of the ``n`` bars before each bar."""
+    """Adds ``moving_average``: mean price of the ``n`` bars before each bar.
+
+    Bars without company or date are left out."""
     check_count("n", n)
     check_price_type(price_type)
     frame = by_date().rowsBetween(-n, -1)
-    return bars.withColumn("moving_average", F.avg(price_type).over(frame))
+    return dated(bars).withColumn("moving_average", F.avg(price_type).over(frame))

@@ -166,10 +166,11 @@ UNION ALL
 SELECT {_BAR} FROM (SELECT *, row_number() OVER ({_BY_DATE}) AS n,
   count(*) OVER (PARTITION BY company_name) AS total FROM bars) WHERE n > total - 40"""
 
-_CHANGES = f"""SELECT {_BAR},
+_ALL_CHANGES = f"""SELECT {_BAR},
   Close - lag(Close, 1) OVER ({_BY_DATE}) AS Price_Diff_Day,
   Close - lag(Close, 30) OVER ({_BY_DATE}) AS Price_Diff_Month
-FROM bars WHERE Date BETWEEN DATE '1997-01-01' AND DATE '1998-12-31'"""
+FROM bars"""
+_CHANGES = f"{_ALL_CHANGES} WHERE Date BETWEEN DATE '1997-01-01' AND DATE '1998-12-31'"
 _PRICE_CHANGES = (
     f"SELECT {_BAR}, {_r('Price_Diff_Day', 'Price_Diff_Day')}, "
     f"{_r('Price_Diff_Month', 'Price_Diff_Month')} FROM ({_CHANGES})"
@@ -299,13 +300,13 @@ _OVER_STATUS: dict[str, str] = {
     "describe_by_company": _describe("bars", _NUMERIC, "company_name"),
     "missing_values": _missing("bars", ("company_name",), ("Date", *_NUMERIC)),
     "missing_values_price_changes": _missing(
-        f"({_CHANGES})",
+        f"({_ALL_CHANGES})",
         ("company_name",),
         ("Date", *_NUMERIC, "Price_Diff_Day", "Price_Diff_Month"),
     ),
     "correlation_matrix": _correlations("bars", _NUMERIC),
     "correlation_matrix_price_changes": _correlations(
-        f"({_CHANGES})", (*_NUMERIC, "Price_Diff_Day", "Price_Diff_Month")
+        f"({_ALL_CHANGES})", (*_NUMERIC, "Price_Diff_Day", "Price_Diff_Month")
     ),
     "pair_correlation": _PAIR_CORRELATION,
     "series_correlation": f"""SELECT {_r(_pearson('x.Close', 'y.Close'), 'correlation')}
@@ -413,7 +414,7 @@ _LINEITEM_NUMERIC = (
 
 _OVER_TABLES: dict[str, str] = {
     "describe_numeric_lineitem": _describe("lineitem", _LINEITEM_NUMERIC),
-    "describe_numeric_events_by_type": _describe("events", ("value",), "event_type"),
+    "describe_numeric_events_by_type": _describe("events", ("event_id", "user_id", "value"), "event_type"),
     "correlation_matrix_lineitem": _correlations("lineitem", _LINEITEM_NUMERIC),
     "missing_values_documents": _missing(
         "documents", ("text", "lang", "source"), ("doc_id", "n_chars")

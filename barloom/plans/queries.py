@@ -22,6 +22,7 @@ from barloom.sources import bars_from_trades
 STATUSES = ("A-F", "A-O", "N-F", "N-O", "R-F", "R-O")
 CHOSEN = ("A-F", "N-O")
 CHOSEN_YEARS = (1997, 1999)
+ALL_DATES = ("1900-01-01", "2199-12-31")  # all bars that the tables can give
 PLACES = 6
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +81,10 @@ def _changes(bars: DataFrame) -> DataFrame:
     return op.price_changes(bars, "1997-01-01", "1998-12-31")
 
 
+def _all_changes(bars: DataFrame) -> DataFrame:
+    return op.price_changes(bars, *ALL_DATES)
+
+
 def _series(bars: DataFrame, company: str) -> DataFrame:
     return op.select_bars(bars, company).select("Date", F.col("Close").alias("Value"))
 
@@ -91,9 +96,9 @@ STATUS_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "describe_numeric": op.describe_numeric,
     "describe_by_company": lambda b: op.describe_numeric(b, by="company_name"),
     "missing_values": op.missing_values,
-    "missing_values_price_changes": lambda b: op.missing_values(_changes(b)),
+    "missing_values_price_changes": lambda b: op.missing_values(_all_changes(b)),
     "correlation_matrix": op.correlation_matrix,
-    "correlation_matrix_price_changes": lambda b: op.correlation_matrix(_changes(b)),
+    "correlation_matrix_price_changes": lambda b: op.correlation_matrix(_all_changes(b)),
     "pair_correlation": lambda b: op.pair_correlation(b, combinations(STATUSES, 2)),
     "series_correlation": lambda b: op.series_correlation(*(_series(b, c) for c in CHOSEN)),
     "distinct_companies": op.distinct_companies,
@@ -181,10 +186,7 @@ EVENT_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
 # Profiles run on any table; the operator sees whatever columns there are.
 TABLE_QUERIES: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "describe_numeric_lineitem": ("lineitem", op.describe_numeric),
-    "describe_numeric_events_by_type": (
-        "events",
-        lambda t: op.describe_numeric(t.select("event_type", "value"), by="event_type"),
-    ),
+    "describe_numeric_events_by_type": ("events", lambda t: op.describe_numeric(t, by="event_type")),
     "correlation_matrix_lineitem": ("lineitem", op.correlation_matrix),
     "missing_values_documents": ("documents", op.missing_values),
 }

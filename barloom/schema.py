@@ -25,8 +25,10 @@ BARS = T.StructType(
 PERIODS = ("Year", "Month", "Week")
 PRICE_TYPES = ("Open", "Close")
 DATE_FORMAT = "yyyy-MM-dd"  # for Spark; as_date has the same for Python
+# A date, alone or with a time of day and zone, which are dropped.
+DATE_TEXT = r"^\s*([0-9]{4}-[0-9]{2}-[0-9]{2})(?:[ T][0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:[.][0-9]+)?)?\s*(?:Z|UTC|[+-][0-9]{2}:?[0-9]{2})?)?\s*$"
 
-# Decimal is left out on purpose: profiles and correlations cover these only.
+# Fixed value: the types that profiles and correlations cover. Decimal is left out on purpose.
 NUMERIC_TYPES = (
     T.ByteType,
     T.ShortType,
@@ -40,12 +42,39 @@ NUMERIC_TYPES = (
 def conform(df: DataFrame) -> DataFrame:
     """Bring the bar columns of ``df`` to the types of ``BARS``.
 
-    Text that does not parse becomes NULL. Columns that already have the right
-    type are left untouched, so filters on them still reach a Parquet scan.
-    Names are matched like Spark does, whatever their case, and come out as in
-    ``BARS``. Further columns are carried through.
+    Text that does not parse becomes NULL; ``unparsed_values`` counts it. A date
+    may have a time of day, a volume a decimal point if it is whole. Columns
+    that already have the right type are left untouched, so filters on them
+    still reach a Parquet scan. Names are matched like Spark does, whatever
+    their case, and come out as in ``BARS``; two that differ in case only are an
+    error. Further columns are carried through.
     """
+    fixed = _conformed(df)
+    return df.withColumns(fixed) if fixed else df
+
+
+def unparsed_values(df: DataFrame) -> DataFrame:
+    """``(column, unparsed)``: how many values of each bar column ``conform``
+    turns into NULL. ``df`` is the table before it."""
+    fixed = _conformed(df)
+    have = {f.name.lower(): f.name for f in df.schema}
+    counts = [
+        F.struct(
+            F.lit(f.name).alias("column"),
+            F.count_if(named(have[f.name.lower()]).isNotNull() & fixed.get(f.name, F.lit(0)).isNull()).alias("unparsed"),
+        )
+        for f in BARS
+    ]
+    return df.agg(F.array(*counts).alias("c")).select(F.inline("c"))
+
+
+def _conformed(df: DataFrame) -> dict[str, Column]:
+    """The bar columns that need a cast or another name."""
     have = {f.name.lower(): f for f in df.schema}
+    wanted = {f.name.lower() for f in BARS}
+    twins = [f.name for f in df.schema if f.name.lower() in wanted and have[f.name.lower()].name != f.name]
+    if twins:
+        raise ValueError(f"bars have columns whose names differ in case only: {twins} in {df.columns}")
     missing = [f.name for f in BARS if f.name.lower() not in have]
     if missing:
         raise ValueError(f"bars lack the columns {missing}; found {df.columns}")
@@ -57,10 +86,15 @@ def conform(df: DataFrame) -> DataFrame:
             if found.name != field.name:
                 fixed[field.name] = column
         elif field.name == "Date" and isinstance(found.dataType, T.StringType):
-            fixed["Date"] = F.try_to_date(column, DATE_FORMAT)
+            text = F.regexp_extract(column, DATE_TEXT, 1)
+            fixed["Date"] = F.try_to_date(F.when(text != "", text), DATE_FORMAT)
+        elif field.name == "Volume" and isinstance(found.dataType, T.StringType):
+            # Decimal keeps whole numbers beyond 2^53 exact.
+            number = column.try_cast("decimal(38,6)")
+            fixed["Volume"] = F.when(number == F.floor(number), number.try_cast("bigint"))
         else:
             fixed[field.name] = column.try_cast(field.dataType)
-    return df.withColumns(fixed) if fixed else df
+    return fixed
 
 
 def repeated_days(bars: DataFrame) -> DataFrame:

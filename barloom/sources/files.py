@@ -21,12 +21,15 @@ def read_bars(
 
     ``file_type`` is ``csv``, ``xlsx`` or ``parquet``; left out, it is the text
     after the last dot of ``path``, case-sensitive. CSV columns are found by
-    their header names and cast, so no pass over the data is needed to learn
-    types; ``infer_schema`` asks for that pass, to type further columns too.
+    the names in the header, which must be the same, in the same order, in all
+    files of a folder or glob: reading one that differs is an error. They are
+    cast, so no pass over the data is needed to learn types; ``infer_schema``
+    asks for that pass, to type further columns too. ``schema.unparsed_values``
+    counts what the casts could not read.
     """
     kind = path.rsplit(".", 1)[-1] if file_type is None else file_type
     if kind == "csv":
-        raw = spark.read.csv(path, header=True, inferSchema=infer_schema)
+        raw = spark.read.csv(path, header=True, inferSchema=infer_schema, enforceSchema=False)
     elif kind == "xlsx":
         raw = _read_excel(spark, path)
     elif kind == "parquet":

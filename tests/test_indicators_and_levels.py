@@ -93,14 +93,30 @@ def test_bands_expand_back_from_the_newest_day(make):
         assert math.isclose(rows[n - 1].lower_band, mean - 2 * deviation)
 
 
-def test_bands_with_repeated_dates_keep_one_row_more_than_asked(make):
+def test_bands_keep_all_rows_of_repeated_dates(make):
     rows = [bar("A", d, float(i + 1)) for i, d in enumerate(sorted(run_of_days(n=4) * 2))]
     got = bollinger_bands(make(rows), "2020-02-01", 3).collect()
-    assert len(got) == 4  # six rows on three dates, cut at n + 1
+    assert len(got) == 6 and {r["rank"] for r in got} == {1, 2, 3}
     newest = [r for r in got if r["rank"] == 1]
     assert len(newest) == 2 and all(r.moving_average == 7.5 for r in newest)  # ties share a frame
 
 
+def test_bars_without_company_or_date_get_no_answer(make):
+    bars = make(closes([1, 2, 3]) + [bar(None, "2020-01-01", 9.0), bar("A", None, 9.0)])
+    for df in (
+        rsi(bars),
+        money_flow_index(bars),
+        fibonacci_overlay(bars),
+        fibonacci_levels(bars),
+        fibonacci_levels(bars, per_year=False),
+        support_resistance(bars),
+    ):
+        rows = df.collect()
+        assert all(r.company_name == "A" for r in rows)
+        assert all(r[k] is not None for r in rows for k in ("Date", "Year") if k in df.columns)
+    assert rsi(bars).count() == 3 and max(r.price for r in fibonacci_levels(bars).collect()) == 3.0
+
+
 def test_bands_per_company_and_price_type(make):
     bars = make(closes([1, 2, 3]) + closes([4, 5, 6], "B"))
     assert bollinger_bands(bars, "2020-01-03", 9, companies="B").count() == 2

@@ -104,20 +104,25 @@ def test_highest_return_broadcasts_one_row_per_year(bars):
     assert "BroadcastHashJoin" in text and "LeftSemi" in text and "NestedLoop" not in text
 
 
-def test_pair_list_is_broadcast_only_up_to_its_limit(bars, monkeypatch):
+def test_pairs_are_not_forced_to_be_broadcast(bars):
     pairs = [("A", "B")]
-    assert "ResolvedHint (strategy=broadcast)" in hints(op.pair_correlation(bars, pairs))
-    monkeypatch.setattr("barloom.operators.correlation.BROADCAST_PAIRS", 0)
     assert "ResolvedHint" not in hints(op.pair_correlation(bars, pairs))
+    text = plan(op.pair_correlation(bars, pairs))
+    assert text.count("LeftSemi") >= 2 and "Cartesian" not in text and "NestedLoop" not in text
 
 
-def test_a_short_pair_list_is_a_filter_on_both_scans(bars, monkeypatch):
-    text = plan(op.pair_correlation(bars, [("A", "B")]))
-    assert "EqualTo(company_name,A)" in text and "EqualTo(company_name,B)" in text
-    monkeypatch.setattr("barloom.operators.correlation.FILTER_PAIRS", 0)
-    longer = op.pair_correlation(bars, [("A", "B")])
-    assert "EqualTo" not in plan(longer)
-    assert longer.collect() == op.pair_correlation(bars, [("A", "B")]).collect()
+def test_undated_bars_are_dropped_below_the_exchange(bars):
+    for df in (op.rsi(bars), op.money_flow_index(bars), op.support_resistance(bars), op.fibonacci_overlay(bars), op.bar_spacing(bars)):
+        text = plan(df)
+        pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", text).group(1)
+        assert "IsNotNull(company_name)" in pushed and "IsNotNull(Date)" in pushed
+
+
+def test_spacing_is_labelled_after_the_aggregate(bars):
+    text = plan(op.sampling_period(bars))
+    assert "format_string" in text
+    below = text[text.index("HashAggregate") :]
+    assert "format_string" not in below
 
 
 def hints(df) -> str:

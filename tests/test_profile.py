@@ -1,7 +1,9 @@
 import math
+import statistics
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from barloom.operators import (
     available_dates,
@@ -12,6 +14,7 @@ from barloom.operators import (
     distinct_companies,
     distinct_years,
     missing_values,
+    moving_average_rolling,
     num_observations,
     pair_correlation,
     sampling_period,
@@ -119,3 +122,38 @@ def test_correlation_survives_large_offsets(spark):
     df = spark.range(100).selectExpr("1e9 + id AS a", "1e9 + 2 * id AS b")
     got = {(r.col_a, r.col_b): r["corr"] for r in correlation_matrix(df).collect()}
     assert got["a", "b"] == pytest.approx(1.0, abs=1e-9)
+
+
+def test_pairs_of_any_length_and_form_agree(spark, make):
+    bars = make(closes([1, 2, 3, 4], "A") + closes([8, 6, 4, 2], "B"))
+    short = [("A", "B"), (None, "B")]
+    longer = short * 501
+    expected = [("A", "B")]
+    for pairs in (short, longer, spark.createDataFrame(longer, "company_a string, company_b string")):
+        rows = pair_correlation(bars, pairs).collect()
+        assert [(r.company_a, r.company_b) for r in rows] == expected and math.isclose(rows[0].correlation, -1.0)
+    assert pair_correlation(bars, []).collect() == []
+
+
+def test_repeated_keys_of_a_series_multiply_nothing(spark):
+    left = spark.createDataFrame([(1, 1.0), (1, 3.0), (2, 4.0), (3, 6.0)], "Date int, Value double")
+    right = spark.createDataFrame([(1, 1.0), (2, 2.0), (2, 2.0), (3, 9.0)], "Date int, Value double")
+    got = series_correlation(left, right).first().correlation
+    assert math.isclose(got, statistics.correlation([2.0, 4.0, 6.0], [1.0, 2.0, 9.0]))
+    keyed = [df.selectExpr("Date", "Date % 2 AS part", "Value") for df in (left, right)]
+    assert math.isclose(series_correlation(*keyed, on=["Date", "part"]).first().correlation, got)
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 6, 60])
+def test_correlation_of_many_columns(spark, n):
+    df = spark.range(30).select(*(F.sin(F.col("id") * (k + 1)).alias(f"c{k}") for k in range(n)))
+    got = {(r.col_a, r.col_b): r["corr"] for r in correlation_matrix(df).collect()}
+    assert len(got) == n * n and all(got[a, b] == got[b, a] for a, b in got)
+    pdf = df.toPandas().corr()
+    assert all(math.isclose(v, pdf[a][b], abs_tol=1e-9) for (a, b), v in got.items())
+
+
+def test_spacing_leaves_out_bars_without_company_or_date(make):
+    bars = make(closes([1, 2, 3]) + [bar(None, "2020-01-01"), bar(None, "2020-01-05"), bar("A", None)])
+    assert bar_spacing(bars).count() == 3 and sampling_period(bars).count() == 1
+    assert moving_average_rolling(bars, 2).count() == 3

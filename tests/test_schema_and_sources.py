@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.operators import between_dates, rsi, volume_ratio
-from barloom.schema import BARS, as_date, as_list, check_price_type, conform, repeated_days
+from barloom.schema import BARS, as_date, as_list, check_price_type, conform, repeated_days, unparsed_values
 from barloom.sources import bars_from_trades, read_bars
 from tests.conftest import bar
 
@@ -142,3 +142,39 @@ def test_roll_up_by_unique_order_agrees(spark):
     assert roll_up(spark, ["o"], unique, unique_order=True) == roll_up(spark, ["o"], unique)
     with pytest.raises(ValueError):
         roll_up(spark, ["o", "l"], unique_order=True)
+
+
+def test_csv_files_with_other_headers_are_an_error(spark, tmp_path):
+    head = "company_name,Date,Open,Close,High,Low,Volume"
+    (tmp_path / "a.csv").write_text(f"{head}\nA,2020-01-01,1,2,3,0,5\n")
+    (tmp_path / "b.csv").write_text("company_name,Date,Close,Open,High,Low,Volume\nB,2020-01-01,2,1,3,0,5\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_bars(spark, f"{tmp_path}/*.csv").collect()
+
+
+def test_dates_with_a_time_and_whole_volumes_with_a_point(spark):
+    rows = [
+        ("2020-01-02 00:00:00", "100.0"),
+        ("2020-01-02T13:45:00.5Z", "9007199254740993"),
+        ("2020-01-02", "1e3"),
+        ("02.01.2020", "1.5"),
+        ("2020-13-02", "many"),
+        (None, None),
+    ]
+    raw = spark.createDataFrame([("A", d, "1", "1", "1", "1", v) for d, v in rows], "company_name string, Date string, Open string, High string, Low string, Close string, Volume string")
+    got = conform(raw).collect()
+    assert [str(r.Date) for r in got[:3]] == ["2020-01-02"] * 3 and [r.Date for r in got[3:]] == [None] * 3
+    assert [r.Volume for r in got] == [100, 9007199254740993, 1000, None, None, None]
+    counts = {r.column: r.unparsed for r in unparsed_values(raw).collect()}
+    assert counts["Date"] == 2 and counts["Volume"] == 2 and counts["Open"] == 0 and len(counts) == 7
+    assert {r.unparsed for r in unparsed_values(conform(raw)).collect()} == {0}
+
+
+def test_columns_that_differ_in_case_only_are_an_error(spark):
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        raw = spark.createDataFrame([("A", "2020-01-01", 1.0, 1.0, 1.0, 1.0, 2.0, 1)], "company_name string, Date string, Open double, High double, Low double, Close double, close double, Volume int")
+        with pytest.raises(ValueError, match="case"):
+            conform(raw)
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
