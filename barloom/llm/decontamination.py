@@ -256,6 +256,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 4, least: floa
 def clean(docs: DataFrame, benchmark: DataFrame, n: int = 4, least: float = 0.6) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item of the benchmark."""
     found = contamination(docs, benchmark, n, least)
-    bad = sized(durable(found.select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key")).distinct()))
-    same = F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.md5(F.col("text").cast("string")) == F.col("_bad_key"))
+    bad = sized(durable(found.select(F.col("doc_id").alias("__bad_id"), F.col("text_key").alias("__bad_key")).distinct()))
+    same = F.col("doc_id").eqNullSafe(F.col("__bad_id")) & (F.md5(F.col("text").cast("string")) == F.col("__bad_key"))
     return docs.join(bad, same, "left_anti")

@@ -154,18 +154,20 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame
     """The mix itself: a row of ``docs`` for each repetition, numbered by ``repetition`` from 1.
 
     A last repetition in part holds the leading words of the text. Rows of which nothing is taken
-    are left out; rows that share a doc_id are repeated as the first of them by size.
+    are left out; rows that share a doc_id are repeated alike, as the longest of them, each in its
+    own text. A column ``repetition`` that ``docs`` has is replaced.
     """
     found = mix(docs, id_col=id_col, **settings).filter("taken > 0")
-    plan = found.groupBy("doc_id").agg(F.max(F.struct("size", "taken")).alias("_plan"))
-    plan = plan.select(F.col("doc_id").alias("_doc_id"), F.col("_plan.size").alias("_size"), F.col("_plan.taken").alias("_taken"))
+    plan = found.groupBy("doc_id").agg(F.max(F.struct("size", "taken")).alias("__plan"))
+    plan = plan.select(F.col("doc_id").alias("__doc_id"), F.col("__plan.size").alias("__size"), F.col("__plan.taken").alias("__taken"))
     repeated = (
-        docs.join(plan, docs[id_col].eqNullSafe(plan["_doc_id"]))
-        .withColumn("repetition", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int"))))
-        .withColumn("_left", F.col("_taken") - (F.col("repetition") - 1) * F.col("_size"))
+        docs.join(plan, docs[id_col].eqNullSafe(plan["__doc_id"]))
+        .withColumn("repetition", F.explode(F.sequence(F.lit(1), F.ceil(F.col("__taken") / F.col("__size")).cast("int"))))
+        .withColumn("__left", F.col("__taken") - (F.col("repetition") - 1) * F.col("__size"))
     )
-    text = F.when(F.col("_left") >= F.col("_size"), F.col("text")).otherwise(leading_words(F.col("text"), F.col("_left").cast("int")))
-    return repeated.withColumn("text", text).select(*docs.columns, "repetition")
+    columns = [c for c in docs.columns if c.lower() != "repetition"]
+    text = F.when(F.col("__left") >= F.col("__size"), F.col("text")).otherwise(leading_words(F.col("text"), F.col("__left").cast("int")))
+    return repeated.withColumn("text", text).select(*columns, "repetition")
 
 
 def leading_words(text: Column, n: Column) -> Column:

@@ -317,19 +317,19 @@ def keep_one_each(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFr
         texts.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("key")).alias("unnamed"))
         .agg(F.min(F.struct("text_key", "copies")).alias("best"))
-        .select(F.col("doc_id").alias("_id"), F.col("best.text_key").alias("_key"), F.col("best.copies").alias("_copies"))
+        .select(F.col("doc_id").alias("__id"), F.col("best.text_key").alias("__key"), F.col("best.copies").alias("__copies"))
     )
     marks = durable(
-        texts.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
-        .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), (F.coalesce("_copies", F.lit(0)) > 1).alias("_again"), F.col("_copies").isNull().alias("_drop"))
-        .filter("_again or _drop")
+        texts.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")), "left")
+        .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), (F.coalesce("__copies", F.lit(0)) > 1).alias("__again"), F.col("__copies").isNull().alias("__drop"))
+        .filter("__again or __drop")
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key(F.col("text").cast("string")) == F.col("_key"))
-    once = docs.join(sized(marks.select("_id", "_key")), same, "left_anti")
-    again = durable(marks.filter("_again").select("_id", "_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (text_key(F.col("text").cast("string")) == F.col("__key"))
+    once = docs.join(sized(marks.select("__id", "__key")), same, "left_anti")
+    again = durable(marks.filter("__again").select("__id", "__key"))
     if again.isEmpty():
         return once
     # Rows that repeat both id and text: one of each is kept.
     repeated = docs.join(sized(again), same, "left_semi")
-    first = repeated.withColumn("_key", text_key(F.col("text").cast("string"))).dropDuplicates(["doc_id", "_key"]).drop("_key")
+    first = repeated.withColumn("__key", text_key(F.col("text").cast("string"))).dropDuplicates(["doc_id", "__key"]).drop("__key")
     return once.unionByName(first)

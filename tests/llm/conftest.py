@@ -1,0 +1,60 @@
+from __future__ import annotations
+
+import pytest
+
+from barloom.llm.common import ship_package
+
+SF = "/root/testdata/sf0.01"
+SMALL = "/root/testdata/sf0.001"
+# Names that the operators give to their own columns.
+CLASHING = ("score", "size", "fp", "component_id", "taken", "key", "code", "verdict", "proposals", "_key", "node")
+EDGE_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING)
+LONG = "lorem ipsum dolor sit amet " * 40_000  # a million characters
+
+
+@pytest.fixture(autouse=True)
+def _shipped(spark, tmp_path_factory):
+    ship_package(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
+
+
+def edge_rows():
+    rows = [
+        (1, "One plain text about a fox and a dog and nothing else at all.", "en", "a"),
+        (1, "One plain text about a fox and a dog and nothing else at all.", "en", "a"),
+        (2, None, "en", None),
+        (3, "", None, "a"),
+        (4, LONG, "la", "b"),
+        (5, " \t\n", "en", "b"),
+        (None, "A text without any id, from 10.0.0.1, for a@b.org.", "en", "a"),
+        (None, None, None, None),
+        (6, "12345 !!! ???", "en", "c"),
+        (7, "Grüße, naïve 日本 \U0001f600 text", "de", "c"),
+    ]
+    return [(*r, len(r[1] or ""), *("x" for _ in CLASHING)) for r in rows]
+
+
+@pytest.fixture(scope="session")
+def edge(spark):
+    return spark.createDataFrame(edge_rows(), EDGE_SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], EDGE_SCHEMA)
+
+
+def union_find(n, pairs):
+    """Smallest member of the group of each of n items."""
+    parent = list(range(n))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    return [root(x) for x in range(n)]

@@ -1,0 +1,80 @@
+import re
+from collections import defaultdict
+
+import pytest
+
+from barloom.llm import mixing
+from barloom.llm.queries import op3_water_filling
+from tests.llm.conftest import SF
+
+
+def brute_targets(sizes, share=1.5, cap=2.0, weights=(5, 2, 1)):
+    order = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
+    left, open_, target = share * sum(sizes.values()), set(order), {}
+    while open_:
+        total = sum(weight[s] for s in open_)
+        over = {s for s in open_ if weight[s] * left / total > cap * sizes[s]}
+        if not over:
+            target |= {s: weight[s] * left / total for s in open_}
+            break
+        for s in over:
+            target[s] = cap * sizes[s]
+        left -= sum(target[s] for s in over)
+        open_ -= over
+    return target
+
+
+def words(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def check(rows, got):
+    sizes = defaultdict(int)
+    for _, text, source in rows:
+        sizes[source] += words(text)
+    target, taken = brute_targets(dict(sizes)), defaultdict(int)
+    source_of = {d: s for d, _, s in rows}
+    for r in got:
+        s = source_of[r.doc_id]
+        assert r.source_size == sizes[s] and r.target == pytest.approx(target[s])
+        assert 0 <= r.taken <= 2 * r.size
+        taken[s] += r.taken
+    assert all(abs(taken[s] - target[s]) <= 2 for s in sizes)
+
+
+def test_query_meets_every_target_and_reruns_agree(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = op3_water_filling(spark, SF).collect()
+    check([tuple(r) for r in docs.select("doc_id", "text", "source").collect()], got)
+    again = mixing.mix(docs.repartition(7, "n_chars")).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again))
+
+
+def test_no_document_is_preferred_for_its_place(spark):
+    rows = [(k, "a b c d", "s" if k < 400 else "t") for k in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs, weights=(1.0, 3.0), share=1.0).collect()
+    check_sum = [r.taken for r in got if r.doc_id < 400]
+    assert sum(check_sum) == 800 and set(check_sum) <= {0, 1, 2, 3, 4}
+    assert 100 < sum(t > 0 for t in check_sum[:200]) * 2 < 300
+
+
+def test_edge_cases(spark, edge, empty):
+    got = mixing.mix(edge).collect()
+    assert len(got) == edge.count() and all(r.taken <= 2 * r.size for r in got)
+    blank = [r for r in got if r.doc_id in (2, 3, 5)]
+    assert all((r.size, r.taken) == (0, 0) for r in blank)
+    assert mixing.mix(empty).collect() == []
+    assert mixing.mixed_rows(empty).columns == [*empty.columns, "repetition"]
+
+
+def test_repetitions_hold_the_words_taken(spark):
+    rows = [(k, f"w{k} x\ty  z", "ab"[k % 2]) for k in range(30)] + [(99, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "'x' AS repetition", "'y' AS taken")
+    plan = {r.doc_id: r.taken for r in mixing.mix(docs).collect()}
+    out = defaultdict(list)
+    for r in mixing.mixed_rows(docs).collect():
+        out[r.doc_id].append((r.repetition, r.text))
+    assert {d: sum(words(t) for _, t in v) for d, v in out.items()} == {d: t for d, t in plan.items() if t}
+    assert all(sorted(n for n, _ in v) == list(range(1, len(v) + 1)) for v in out.values())
