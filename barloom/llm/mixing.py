@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import WORD, durable, word_count
+from barloom.llm.common import WORD, durable, sized, word_count
 
 SEED = 42
 # Cells of each of the two levels of the seeded order.
@@ -73,6 +73,59 @@ def water_fill(sources: DataFrame, budget: float, max_epochs: float) -> DataFram
     return sources.withColumn("target", F.least(cap, F.col("weight") * F.lit(level)))
 
 
+def _placed(seed: int, id_col: str) -> dict[str, Column]:
+    """Words and place in the seeded order of every row."""
+    order = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col("text")), F.lit(CELLS * CELLS))
+    return {
+        "__size": word_count("text"),
+        "__cell": F.floor(order / CELLS).cast("int"),
+        "__inner": F.pmod(order, F.lit(CELLS)).cast("int"),
+    }
+
+
+def _plan(rows: DataFrame, weights: tuple[float, ...], share: float, max_epochs: float) -> DataFrame:
+    """A row for each source: words, target, whole repetitions, and where the fractional one ends.
+
+    Of the hash cells before ``__edge`` and the inner cells before ``__inner_edge`` in it, documents
+    get a fractional repetition in full; those in the last inner cell get the share ``__part``.
+    """
+    targets = durable(_targets(rows, weights, share, max_epochs))
+    named = _by_source(rows, targets)
+    cells = _edge(named.groupBy("source", "__cell").agg(F.sum("__size").alias("n"), F.first("__extra").alias("goal")), "__cell")
+    reached = "n > 0 and done < goal and done + n >= goal"
+    edge = durable(cells.filter(reached).select(F.col("source").alias("__source"), F.col("__cell").alias("__edge"), "done"))
+    inner = (
+        _by_source(named, edge)
+        .filter("__cell = __edge")
+        .groupBy("source", "__inner")
+        .agg(F.sum("__size").alias("n"), F.first(F.col("__extra") - F.col("done")).alias("goal"))
+    )
+    part = ((F.col("goal") - F.col("done")) / F.col("n")).alias("__part")
+    last = durable(_edge(inner, "__inner").filter(reached).select(F.col("source").alias("source"), F.col("__inner").alias("__inner_edge"), part))
+    both = last.join(edge.drop("done"), last["source"].eqNullSafe(edge["__source"])).drop("source")
+    ends = both.withColumnRenamed("__source", "source")
+    return durable(
+        targets.join(ends, targets["__source"].eqNullSafe(ends["source"]), "left").select(
+            "__source", "__source_size", "__target", "__whole", "__edge", "__inner_edge", "__part"
+        )
+    )
+
+
+def _by_source(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """``rows`` with the row of their source, which ``table`` has under ``__source``."""
+    return rows.join(sized(table), rows["source"].eqNullSafe(table["__source"])).drop("__source")
+
+
+def _taken() -> Column:
+    part = (
+        F.when(F.col("__edge").isNull(), 0.0)
+        .when(F.col("__cell") != F.col("__edge"), (F.col("__cell") < F.col("__edge")).cast("double"))
+        .when(F.col("__inner") != F.col("__inner_edge"), (F.col("__inner") < F.col("__inner_edge")).cast("double"))
+        .otherwise(F.col("__part"))
+    )
+    return (F.col("__size") * F.col("__whole") + F.round(F.col("__size") * part)).cast("long")
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[float, ...] = (5.0, 2.0, 1.0),
@@ -85,62 +138,30 @@ def mix(
 
     Sources in order weigh ``weights``, repeating, and share ``share`` times all words.
     """
-    order = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col("text")), F.lit(CELLS * CELLS))
-    rows = durable(
-        docs.select(
-            F.col(id_col).alias("doc_id"),
-            F.col("source").alias("source"),
-            word_count("text").alias("size"),
-            F.floor(order / CELLS).cast("int").alias("cell"),
-            F.pmod(order, F.lit(CELLS)).cast("int").alias("inner"),
-        )
-    )
-    targets = durable(_targets(rows, weights, share, max_epochs))
-    named = rows.join(targets, rows["source"].eqNullSafe(targets["_source"])).drop("_source")
-
-    cells = _edge(named.groupBy("source", "cell").agg(F.sum("size").alias("n"), F.first("extra").alias("goal")), "cell")
-    edge = cells.filter("n > 0 and done < goal and done + n >= goal").select(
-        F.col("source").alias("_source"), F.col("cell").alias("_cell"), F.col("done").alias("_done")
-    )
-    edge = durable(edge)
-    split = named.join(edge, named["source"].eqNullSafe(edge["_source"]), "left").drop("_source")
-    inner = (
-        split.filter("cell = _cell")
-        .groupBy("source", "inner")
-        .agg(F.sum("size").alias("n"), F.first(F.col("extra") - F.col("_done")).alias("goal"))
-    )
-    last = _edge(inner, "inner").filter("n > 0 and done < goal and done + n >= goal").select(
-        F.col("source").alias("_source"), F.col("inner").alias("_inner"), ((F.col("goal") - F.col("done")) / F.col("n")).alias("_part")
-    )
-    placed = split.join(last, split["source"].eqNullSafe(last["_source"]), "left").drop("_source")
-    part = (
-        F.when((F.col("extra") <= 0) | F.col("_cell").isNull(), 0.0)
-        .when(F.col("cell") != F.col("_cell"), (F.col("cell") < F.col("_cell")).cast("double"))
-        .when(F.col("inner") != F.col("_inner"), (F.col("inner") < F.col("_inner")).cast("double"))
-        .otherwise(F.col("_part"))
-    )
-    return placed.select(
+    placed = docs.withColumns(_placed(seed, id_col))
+    rows = durable(placed.select(F.col(id_col).alias("doc_id"), "source", "__size", "__cell", "__inner"))
+    return _by_source(rows, _plan(rows, weights, share, max_epochs)).select(
         "doc_id",
-        "size",
-        "source_size",
-        "target",
-        (F.col("size") * F.col("whole") + F.round(F.col("size") * part)).cast("long").alias("taken"),
+        F.col("__size").alias("size"),
+        F.col("__source_size").alias("source_size"),
+        F.col("__target").alias("target"),
+        _taken().alias("taken"),
     )
 
 
 def _targets(rows: DataFrame, weights: tuple[float, ...], share: float, max_epochs: float) -> DataFrame:
     """Per source its words, target, whole repetitions and the words of the fractional one."""
-    sources = durable(ranked_sources(rows.groupBy("source").agg(F.sum("size").alias("size"))))
+    sources = durable(ranked_sources(rows.groupBy("source").agg(F.sum("__size").alias("size"))))
     total = sources.agg(F.sum("size")).first()[0] or 0
     weight = F.element_at(F.array(*map(F.lit, map(float, weights))), (F.col("place") % len(weights) + 1).cast("int"))
     filled = water_fill(sources.withColumn("weight", weight), share * total, max_epochs)
     epochs = F.when(F.col("size") > 0, F.col("target") / F.col("size")).otherwise(0.0)
     return filled.select(
-        F.col("source").alias("_source"),
-        F.col("size").alias("source_size"),
-        "target",
-        F.floor(epochs).alias("whole"),
-        (F.col("target") - F.floor(epochs) * F.col("size")).alias("extra"),
+        F.col("source").alias("__source"),
+        F.col("size").alias("__source_size"),
+        F.col("target").alias("__target"),
+        F.floor(epochs).alias("__whole"),
+        (F.col("target") - F.floor(epochs) * F.col("size")).alias("__extra"),
     )
 
 
@@ -150,24 +171,34 @@ def _edge(cells: DataFrame, order: str) -> DataFrame:
     return cells.withColumn("done", F.coalesce(F.sum("n").over(before), F.lit(0)))
 
 
-def mixed_rows(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
+def mixed_rows(
+    docs: DataFrame,
+    weights: tuple[float, ...] = (5.0, 2.0, 1.0),
+    share: float = 1.5,
+    max_epochs: float = 2.0,
+    seed: int = SEED,
+    id_col: str = "doc_id",
+) -> DataFrame:
     """The mix itself: a row of ``docs`` for each repetition, numbered by ``repetition`` from 1.
 
     A last repetition in part holds the leading words of the text. Rows of which nothing is taken
-    are left out; rows that share a doc_id are repeated alike, as the longest of them, each in its
-    own text. A column ``repetition`` that ``docs`` has is replaced.
+    are left out. A column ``repetition`` that ``docs`` has is replaced. Texts are not shuffled: a
+    document only needs the row of its source.
     """
-    found = mix(docs, id_col=id_col, **settings).filter("taken > 0")
-    plan = found.groupBy("doc_id").agg(F.max(F.struct("size", "taken")).alias("__plan"))
-    plan = plan.select(F.col("doc_id").alias("__doc_id"), F.col("__plan.size").alias("__size"), F.col("__plan.taken").alias("__taken"))
-    repeated = (
-        docs.join(plan, docs[id_col].eqNullSafe(plan["__doc_id"]))
-        .withColumn("repetition", F.explode(F.sequence(F.lit(1), F.ceil(F.col("__taken") / F.col("__size")).cast("int"))))
-        .withColumn("__left", F.col("__taken") - (F.col("repetition") - 1) * F.col("__size"))
-    )
+    placed = docs.withColumns(_placed(seed, id_col))
+    plan = _plan(durable(placed.select("source", "__size", "__cell", "__inner")), weights, share, max_epochs)
+    times = F.ceil(F.col("__taken") / F.col("__size")).cast("int")
+    left = F.col("__taken") - (F.col("repetition") - 1) * F.col("__size")
+    text = F.when(left >= F.col("__size"), F.col("text")).otherwise(leading_words(F.col("text"), left.cast("int")))
     columns = [c for c in docs.columns if c.lower() != "repetition"]
-    text = F.when(F.col("__left") >= F.col("__size"), F.col("text")).otherwise(leading_words(F.col("text"), F.col("__left").cast("int")))
-    return repeated.withColumn("text", text).select(*columns, "repetition")
+    return (
+        _by_source(placed.select(*columns, "__size", "__cell", "__inner"), plan)
+        .withColumn("__taken", _taken())
+        .filter("__taken > 0")
+        .withColumn("repetition", F.explode(F.sequence(F.lit(1), times)))
+        .withColumn("text", text)
+        .select(*columns, "repetition")
+    )
 
 
 def leading_words(text: Column, n: Column) -> Column:
