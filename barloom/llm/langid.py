@@ -58,7 +58,9 @@ def gram_counts(text: str | None) -> np.ndarray | None:
     blank = points == 32
     keep = ~blank
     keep[1:] |= ~blank[:-1]
-    points = np.concatenate([np.array([32], np.uint64), points[keep], np.array([32], np.uint64)])
+    points = points[keep]
+    points = points[int(points[0] == 32) : len(points) - int(points[-1] == 32)]
+    points = np.pad(points, 1, constant_values=32)
     counts = np.zeros(BUCKETS, np.int64)
     for at in range(0, len(points), BLOCK):
         # Two characters of overlap, so that no n-gram is cut.
