@@ -1,0 +1,83 @@
+import gzip
+import hashlib
+from pathlib import Path
+
+import pytest
+
+from barloom.llm import warc
+
+SCHEMA = "page_id long, url string, html string, shard string, digest string, bytes string"
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, "x", "y", "z") for r in rows], SCHEMA)
+
+
+def some_rows():
+    rows = [(k, f"http://h{k % 7}.org/{k}", f"<p>page {k} é\U0001f600 " + "text " * (k % 300)) for k in range(400)]
+    rows += [(1000 + k, "http://hot.org/", "<p>same " * 300) for k in range(60)]
+    rows += [(2000, None, None), (2001, "http://e.org/", ""), (None, "http://n.org/\r\nX: y", "<p>same " * 300)]
+    rows += [(3000, "http://t.org/", "tiny"), (3001, "http://t.org/", "tiny"), (3001, "http://t.org/", "tiny")]
+    return rows
+
+
+def brute(rows):
+    first = {}
+    for page_id, _, html in rows:
+        if page_id is not None:
+            first[html or ""] = max(page_id, first.get(html or "", page_id))
+    out = []
+    for page_id, _, html in rows:
+        data = (html or "").encode()
+        revisit = len(data) >= 1000 and page_id != first[html or ""]
+        out.append((page_id, len(data), hashlib.sha1(data).hexdigest(), "revisit" if revisit else "response", first[html or ""] if revisit else None))
+    return sorted(out, key=str)
+
+
+def files(folder):
+    return {p.name: p.read_bytes() for p in Path(folder).glob("*.warc.gz")}
+
+
+def test_round_trip(spark, tmp_path):
+    rows = some_rows()
+    listed = warc.write(pages(spark, rows), f"file://{tmp_path}/w", shard_bytes=60_000, roll_bytes=4_000).collect()
+    got = warc.read(spark, f"file://{tmp_path}/w").collect()
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=str) == brute(rows)
+    body = {r.page_id: r.payload for r in got if r.record_type == "response"}
+    assert all(body[p] == (h or "").encode() for p, _, h in rows if p in body)
+    on_disk = files(tmp_path / "w")
+    assert {r.name for r in listed} == on_disk.keys() and len(listed) > 10 and len({r.shard for r in listed}) > 3
+    for r in listed:
+        assert (len(on_disk[r.name]), hashlib.sha1(on_disk[r.name]).hexdigest()) == (r.bytes, r.sha1)
+    sizes = sorted(r.bytes for r in listed)
+    assert sizes[-1] < 4_000 + 2_500  # a file ends with the record that passes the limit
+    assert not (tmp_path / "w" / "_temporary").exists()
+    # records run in order of URL through the files
+    uris = [line[17:] for n in sorted(on_disk) for line in gzip.decompress(on_disk[n]).decode().split("\r\n") if line.startswith("WARC-Target-URI: ")]
+    assert uris[1:] == sorted(uris[1:])
+
+
+def test_equal_input_gives_equal_files(spark, tmp_path):
+    rows = some_rows()
+    warc.write(pages(spark, rows), f"file://{tmp_path}/a", shard_bytes=60_000, roll_bytes=4_000)
+    warc.write(pages(spark, rows[::-1]).repartition(9), f"file://{tmp_path}/b", shard_bytes=60_000, roll_bytes=4_000)
+    assert files(tmp_path / "a") == files(tmp_path / "b")
+
+
+def test_a_committed_folder_is_not_written_again_and_a_commit_can_be_repeated(spark, tmp_path):
+    folder = f"file://{tmp_path}/w"
+    before = [tuple(r) for r in warc.write(pages(spark, some_rows()), folder).collect()]
+    held = files(tmp_path / "w")
+    assert [tuple(r) for r in warc.write(pages(spark, some_rows()[:3]), folder).collect()] == before
+    listed = spark.createDataFrame([(s, n, f"{tmp_path}/gone/{n}", c, b, h) for s, n, c, b, h in before], "shard int, name string, temporary string, records long, bytes long, sha1 string")
+    warc.commit(listed, folder)  # files already moved stay
+    assert files(tmp_path / "w") == held
+    missing = listed.selectExpr("shard", "'other' AS name", "temporary", "records", "bytes", "sha1")
+    with pytest.raises(Exception, match="gone"):
+        warc.commit(missing, folder)
+
+
+def test_empty_table(spark, tmp_path):
+    folder = f"file://{tmp_path}/w"
+    assert warc.write(pages(spark, some_rows()[:1]).limit(0), folder).collect() == []
+    assert warc.read(spark, folder).collect() == []
