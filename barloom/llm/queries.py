@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import crosspolytope, decontamination, langid, mixing, oracle, pii, simhash, tokens, toxicity, urls, warc
-from barloom.llm.common import crc_part, read_table, shared_dir
+from barloom.llm.common import crc_part, durable, read_table, shared_dir, sized
 
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -80,7 +80,8 @@ def op9_delta_rollup(spark: SparkSession, sf_dir: str, vocabulary: str = "/opt/t
     rollup.apply("000-load", tokens.changes(counts(docs), "insert"))
     found = rollup.ledger().join(labels, "doc_id")
     deleted = found.filter("toxic = 1").select("doc_id", "source", "lang", "version", "tokens")
-    poor = docs.join(labels.filter("quality = 0 and coalesce(toxic, 0) != 1").select("doc_id"), "doc_id", "left_semi")
+    poor_ids = durable(labels.filter("quality = 0 and coalesce(toxic, 0) != 1").select("doc_id"))
+    poor = docs.join(sized(poor_ids), "doc_id", "left_semi")
     revised = tokens.changes(counts(tokens.without_repeated_lines(poor)), "revise")
     for _ in range(2):
         rollup.apply("001-labels", tokens.changes(deleted, "delete").unionByName(revised))

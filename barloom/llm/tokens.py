@@ -31,7 +31,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm.common import word_count
+from barloom.llm.common import durable, word_count
 
 # How byte-level BPE vocabularies of this kind part a text before merging. Fixed value.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -135,6 +135,8 @@ class Rollup:
             raise ValueError(f"{batch!r} is no name of a batch")
         if batch in self.committed():
             return False
+        # Counted once: what follows reads the changes several times.
+        changes = durable(changes.select("op", "doc_id", *KEYS, "tokens", "seq"))
         rank = F.struct("seq", F.col("op") == "delete", "tokens", "source", "lang")
         last = (
             changes.filter("doc_id is not null")
