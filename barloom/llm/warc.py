@@ -310,7 +310,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
         + [("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64())]
     )
     names = manifest(spark, folder).select("name")
-    return names.repartition("name").mapInArrow(
+    # A number of its own keeps Spark from joining these few rows into one task.
+    return names.repartitionByRange(max(1, names.count()), "name").mapInArrow(
         run, "page_id long, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to long"
     )
 
