@@ -10,7 +10,8 @@ passages are aligned once, however many documents hold them.
 Both scans look n-grams up in a bit filter of fixed greatest size, the only thing broadcast to them;
 what it lets through by chance is removed by the joins on exact codes.
 
-Words are runs of letters and digits, in lower case; other characters do not matter. Edge cases:
+Words are runs of ASCII letters and digits and of characters beyond ASCII, in lower case; other
+characters do not matter. Edge cases:
 NULL or empty texts and items hold nothing; an item of fewer than ``n`` words has no n-gram and is
 not searched for. Repeated items are found separately. A row without doc_id is reported without one.
 Extra columns are ignored, empty tables give an empty result.
@@ -18,18 +19,16 @@ Extra columns are ignored, empty tables give an empty result.
 
 from __future__ import annotations
 
-import re
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.common import durable, sized
 
-WORDS = re.compile(r"[^\W_]+")
 # Words of a segment, and of the stretch around seeds that is aligned with it.
 SEGMENT, MARGIN, PASSAGE = 64, 72, 256
 # Alignment scores of a word: equal, different, left out or put in.
@@ -38,49 +37,105 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_BITS, MOST_BITS = 20, 27
 # Odd multiplier that chains word hashes. Fixed value.
 CHAIN = 0x9E3779B97F4A7C15
-# Words whose hash a worker remembers.
-REMEMBERED = 1 << 20
+# Bytes scanned at once.
+BLOCK = 1 << 15
 
 
-class WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return found
+class Words:
+    """The words of a text: places in its lower-cased UTF-8 ``data``, and a 64-bit hash of each."""
 
+    def __init__(self, text: str | None):
+        self.data = (text or "").lower().encode("utf-8", "surrogatepass")
+        found = [_scan(self.data, *piece) for piece in _pieces(self.data)]
+        self.starts, self.ends, self.hashes = (np.concatenate(x) for x in zip(*found))
 
-def words_of(text: str | None) -> list[str]:
-    return WORDS.findall((text or "").lower())
+    def __len__(self) -> int:
+        return len(self.starts)
 
+    def text(self, low: int, high: int) -> str:
+        """Words ``low`` to ``high``, parted by blanks."""
+        places = zip(self.starts[low:high].tolist(), self.ends[low:high].tolist())
+        return b" ".join(self.data[a:b] for a, b in places).decode("utf-8", "surrogatepass")
 
-def gram_codes(words: list[str], n: int, hashes: WordHashes) -> np.ndarray:
-    """A 64-bit code for each run of ``n`` words."""
-    if len(words) < n:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
-    codes = h[: len(h) - n + 1].copy()
-    for k in range(1, n):
-        codes = codes * np.uint64(CHAIN) + h[k : len(h) - n + 1 + k]
-        codes ^= codes >> np.uint64(29)
-    return codes
+    def grams(self, n: int) -> np.ndarray:
+        """A 64-bit code for each run of ``n`` words."""
+        h = self.hashes
+        if len(h) < n:
+            return np.zeros(0, np.uint64)
+        codes = h[: len(h) - n + 1].copy()
+        for k in range(1, n):
+            codes = codes * np.uint64(CHAIN) + h[k : len(h) - n + 1 + k]
+            codes ^= codes >> np.uint64(29)
+        return codes
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes belong to words, and a number for each byte."""
+    inside = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
+    numbers = (np.arange(256, dtype=np.uint64) + np.uint64(1)) * np.uint64(CHAIN)
+    numbers ^= numbers >> np.uint64(31)
+    return inside, numbers * np.uint64(CHAIN)
+
+
+@functools.lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of ``CHAIN`` and of its inverse, modulo 2^64."""
+    factors = (CHAIN, pow(CHAIN, -1, 1 << 64))
+    one, two = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, f, np.uint64)])) for f in factors)
+    return one, two
+
+
+INSIDE, NUMBERS = _tables()
+
+
+def _pieces(data: bytes) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``BLOCK`` bytes that cut no word: bounds the memory for one very long text."""
+    at = 0
+    while True:
+        end = at + BLOCK
+        while end < len(data) and INSIDE[data[end]]:
+            end += 1
+        yield at, min(end, len(data))
+        if end >= len(data):
+            return
+        at = end
+
+
+def _scan(data: bytes, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of the words between two places.
+
+    A hash is the sum of the bytes' numbers by powers of their place, taken from running sums and
+    brought back to the first place, so that equal words have equal hashes.
+    """
+    b = np.frombuffer(data, np.uint8)[low:high]
+    if not len(b):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    inside = INSIDE[b]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    edges = np.concatenate([[0] * int(inside[0]), edges, [len(b)] * int(inside[-1])]).astype(np.int64)
+    starts, ends = edges[0::2], edges[1::2]
+    powers, inverse = _powers(1 << max(16, len(b).bit_length()))
+    sums = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum(NUMBERS[b] * powers[: len(b)], out=sums[1:])
+    hashes = (sums[ends] - sums[starts]) * inverse[starts]
+    hashes ^= hashes >> np.uint64(32)
+    return starts + low, ends + low, hashes * np.uint64(CHAIN)
 
 
 def segments(benchmark: DataFrame, n: int) -> DataFrame:
     """``(item_id, part, words, codes)``: items cut into segments that overlap by half."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             ids, parts, texts, codes = [], [], [], []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = words_of(text)
+                words = Words(text)
+                grams = words.grams(n)
                 last = max(0, len(words) - SEGMENT)
                 for part, at in enumerate([*range(0, last, SEGMENT // 2), last]):
-                    piece = words[at : at + SEGMENT]
-                    if len(piece) >= n:
-                        ids.append(item), parts.append(part), texts.append(" ".join(piece))
-                        codes.append(np.unique(gram_codes(piece, n, hashes)).view(np.int64))
+                    if len(words) >= n:
+                        ids.append(item), parts.append(part), texts.append(words.text(at, at + SEGMENT))
+                        codes.append(np.unique(grams[at : at + SEGMENT - n + 1]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, batch.schema[0].type), pa.array(parts, pa.int32()), pa.array(texts, pa.string()), pa.array(codes, pa.list_(pa.int64()))],
                 names=["item_id", "part", "words", "codes"],
@@ -121,11 +176,10 @@ def gram_frequencies(docs: DataFrame, codes: DataFrame, n: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(bit_filter(codes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             held = []
             for text in batch.column(0):
-                grams = gram_codes(words_of(text.as_py()), n, hashes)
+                grams = Words(text.as_py()).grams(n)
                 held.append(np.unique(grams[passes(grams, *shared.value)]))
             found, count = np.unique(np.concatenate([*held, np.zeros(0, np.uint64)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(count.astype(np.int64))], names=["code", "df"])
@@ -142,16 +196,15 @@ def passages(docs: DataFrame, seeds: DataFrame, n: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(bit_filter(seeds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             rows, starts, texts, codes = [], [], [], []
             for row, text in enumerate(batch.column(2)):
-                words = words_of(text.as_py())
-                grams = gram_codes(words, n, hashes)
+                words = Words(text.as_py())
+                grams = words.grams(n)
                 hits = np.flatnonzero(passes(grams, *shared.value))
                 for low, high in _stretches(hits, n, len(words)):
                     inside = hits[(hits >= low) & (hits + n <= high)]
-                    rows.append(row), starts.append(low), texts.append(" ".join(words[low:high]))
+                    rows.append(row), starts.append(low), texts.append(words.text(low, high))
                     codes.append(np.unique(grams[inside]).view(np.int64))
             part = batch.select([0, 1]).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays(

@@ -1,3 +1,4 @@
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -8,6 +9,10 @@ from barloom.llm.queries import op5_seeded_alignment
 from tests.llm.conftest import SF
 
 
+def words_of(text):
+    return re.findall(r"[a-z0-9\x80-\U0010ffff]+", (text or "").lower())
+
+
 def brute_score(segment, passage):
     """Smith-Waterman by the plain recurrence."""
     best, before = 0, [0] * (len(passage) + 1)
@@ -26,12 +31,27 @@ def test_alignment_equals_the_plain_recurrence():
     assert got.tolist() == [brute_score(a.tolist(), b.tolist()) for a, b in zip(ones, twos)]
 
 
+@pytest.mark.parametrize("block", [3, 40, dc.BLOCK])
+def test_words_and_codes_do_not_depend_on_blocks(monkeypatch, block):
+    text = "One, TWO-three: vier_fünf \U0001f600 ÄÖ 12.5!" * 7
+    whole = dc.Words(text)
+    monkeypatch.setattr(dc, "BLOCK", block)
+    words = dc.Words(text)
+    assert words.text(0, len(words)).split(" ") == words_of(text) and len(words) == len(words_of(text))
+    assert (words.grams(3) == whole.grams(3)).all()
+    ids = {}
+    for gram, code in zip(zip(words_of(text), words_of(text)[1:], words_of(text)[2:]), words.grams(3).tolist()):
+        assert ids.setdefault(gram, code) == code
+    assert len(set(ids.values())) == len(ids)
+    assert len(dc.Words(None)) == len(dc.Words("")) == len(dc.Words("... ")) == 0
+
+
 def test_query_finds_every_planted_passage_and_nothing_else(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     items = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()
     grams = defaultdict(set)
     for item in items:
-        words = dc.words_of(item.text)
+        words = words_of(item.text)
         for k in range(len(words) - 4):
             grams[tuple(words[k : k + 5])].add(item.item_id)
     sizes = defaultdict(int)
@@ -40,7 +60,7 @@ def test_query_finds_every_planted_passage_and_nothing_else(spark):
             sizes[item] += 1
     want = set()
     for doc in docs:
-        words, seen = dc.words_of(doc.text), defaultdict(int)
+        words, seen = words_of(doc.text), defaultdict(int)
         for gram in {tuple(words[k : k + 5]) for k in range(len(words) - 4)}:
             for item in grams.get(gram, ()):
                 seen[item] += 1
