@@ -149,25 +149,40 @@ def _judged(kind: str, text: Column, span: Column, strict: bool) -> Column:
 FEATURES = ("digits", "length", "separators", "left", "right", "gazetteer", "context")
 
 
-def proposals(text: Column) -> Column:
-    """All strict and loose spans of a text, judged; strict ones first within a kind."""
-    text = F.coalesce(text, F.lit(""))
+def with_proposals(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__text``, never NULL, and ``__proposals``: all strict and loose spans, judged,
+    strict ones first within a kind.
+
+    In steps, so that nothing that is used twice, by every loose span say, is matched twice.
+    """
     hints = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][0-9 -]{11}", "phone": r"\+[0-9]"}
     loose_hints = {"email": r"(?i)dot", "ip": r"(?i)[0-9]\x20?(?:[\[(]\.|dot)", "phone": r"[0-9]{3}[.\x20-][0-9]{4}"}
+    text = F.col("__text")
+
+    def kept(kind: str) -> Column:
+        return F.filter(f"__{kind}", lambda s: valid(kind, s["value"]))
 
-    def of(kind: str) -> list[Column]:
-        found = matches(text, STRICT[kind], hints[kind])
-        strict = F.filter(found, lambda s: valid(kind, s["value"]))
+    def loose(kind: str) -> Column:
         if kind == "card":
-            loose = F.filter(found, lambda s: F.length(digits(s["value"])).between(13, 19) & ~valid(kind, s["value"]))
-        else:
-            loose = F.filter(
-                matches(text, LOOSE[kind], loose_hints[kind]),
-                lambda s: ~F.exists(strict, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-            )
-        return [F.transform(strict, lambda s: _judged(kind, text, s, True)), F.transform(loose, lambda s: _judged(kind, text, s, False))]
+            return F.filter("__card", lambda s: F.length(digits(s["value"])).between(13, 19) & ~valid(kind, s["value"]))
+        return F.filter(
+            matches(text, LOOSE[kind], loose_hints[kind]),
+            lambda s: ~F.exists(f"__strict_{kind}", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+        )
 
-    return F.concat(*(spans for kind in KINDS for spans in of(kind)))
+    def judge(kind: str, spans: str, strict: bool) -> Column:
+        return F.transform(spans, lambda s: _judged(kind, text, s, strict))
+
+    judged = [judge(kind, f"__{how}_{kind}", how == "strict") for kind in KINDS for how in ("strict", "loose")]
+    helpers = [f"__{kind}" for kind in KINDS] + [f"__{how}_{kind}" for kind in KINDS for how in ("strict", "loose")]
+    return (
+        docs.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+        .withColumns({f"__{kind}": matches(text, STRICT[kind], hints[kind]) for kind in KINDS})
+        .withColumns({f"__strict_{kind}": kept(kind) for kind in KINDS})
+        .withColumns({f"__loose_{kind}": loose(kind) for kind in KINDS})
+        .withColumn("__proposals", F.concat(*judged))
+        .drop(*helpers)
+    )
 
 
 def estimate(patterns: DataFrame, rounds: int = 12) -> DataFrame:
@@ -200,10 +215,10 @@ def estimate(patterns: DataFrame, rounds: int = 12) -> DataFrame:
 
 
 def train(judged: DataFrame, rounds: int = 12) -> dict:
-    """Log odds of every feature value by kind, from a column ``proposals`` of judged spans."""
+    """Log odds of every feature value by kind, from the column ``__proposals`` of judged spans."""
     columns = list(dict.fromkeys(["kind", *VOTES, *FEATURES]))
     patterns = durable(
-        judged.select(F.explode("proposals").alias("s")).select(*(F.col(f"s.{c}").alias(c) for c in columns)).groupBy(*columns).agg(F.count("*").alias("n"))
+        judged.select(F.explode("__proposals").alias("s")).select(*(F.col(f"s.{c}").alias(c) for c in columns)).groupBy(*columns).agg(F.count("*").alias("n"))
     )
     weighed = durable(estimate(patterns, rounds))
     values = F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.col(f).alias("value")) for f in FEATURES)))
@@ -247,12 +262,12 @@ def detect(docs: DataFrame, least: float = 0.5, rounds: int = 12) -> DataFrame:
 
     The counts and the digest are of strict spans; spans lists all, as kind:start:end.
     """
-    judged = durable(docs.select("doc_id", proposals(F.col("text").cast("string")).alias("proposals")))
+    judged = durable(with_proposals(docs.select("doc_id", "text")).select("doc_id", "__proposals"))
     model = train(judged, rounds)
-    strict = F.filter("proposals", lambda s: s["strict"])
+    strict = F.filter("__proposals", lambda s: s["strict"])
     kept = F.array_sort(
         F.transform(
-            F.filter("proposals", lambda s: s["strict"] | accepts(s, model, least)),
+            F.filter("__proposals", lambda s: s["strict"] | accepts(s, model, least)),
             lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")),
         )
     )
@@ -266,12 +281,12 @@ def detect(docs: DataFrame, least: float = 0.5, rounds: int = 12) -> DataFrame:
 
 def redacted(docs: DataFrame, least: float = 0.5, rounds: int = 12) -> DataFrame:
     """``docs``, all columns, with every span of the text replaced by its kind in angle brackets."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    model = train(docs.select(proposals(text).alias("proposals")), rounds)
+    model = train(with_proposals(docs.select("text")), rounds)
+    text = F.col("__text")
     names = F.array(*map(F.lit, KINDS))
     found = F.array_sort(
         F.transform(
-            F.filter(proposals(text), lambda s: s["strict"] | accepts(s, model, least)),
+            F.filter("__proposals", lambda s: s["strict"] | accepts(s, model, least)),
             lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")),
         )
     )
@@ -284,5 +299,11 @@ def redacted(docs: DataFrame, least: float = 0.5, rounds: int = 12) -> DataFrame
         return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
 
     state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    whole = F.aggregate(found, state, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return docs.withColumn("text", F.when(F.col("text").isNull(), F.col("text")).otherwise(whole))
+    whole = F.aggregate("__spans", state, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+    changed = F.col("text").isNotNull() & (F.size("__spans") > 0)
+    return (
+        with_proposals(docs)
+        .withColumn("__spans", found)
+        .withColumn("text", F.when(changed, whole).otherwise(F.col("text")))
+        .select(docs.columns)
+    )
