@@ -34,6 +34,9 @@ from barloom.llm.tiles import tile_units
 SEED = 42
 # Shingles whose bits are counted at once: bounds the memory for one very long text.
 BLOCK = 1 << 15
+# Rows of a tile in the similarity form: every tile travels to all it is compared with, so fewer and
+# larger ones shuffle less. Two of them take a few megabytes.
+WIDE_TILE = 8192
 # Multiplier and shifts of the finaliser that derives further words from one hash. Fixed values.
 GOLDEN, MIX_1, MIX_2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
@@ -249,7 +252,7 @@ def link_similar(values: DataFrame, least: float = 0.8, width: int = 8, margin:
     # Sets with Jaccard >= least differ in size by 1 / least at most: same or next class.
     classes = F.floor(F.log(F.greatest(F.col("n"), F.lit(1))) / float(-np.log(least)) + 1e-9).cast("int")
     rows = values.select(F.lit(0).alias("all"), classes.alias("band"), "node", "n", "sketch")
-    units = tile_units(rows, ["all"], ["node", "n", "sketch"], F.xxhash64("node"), 1)
+    units = tile_units(rows, ["all"], ["node", "n", "sketch"], F.xxhash64("node"), 1, tile=WIDE_TILE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
