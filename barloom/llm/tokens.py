@@ -22,6 +22,7 @@ an empty batch is committed and changes nothing.
 from __future__ import annotations
 
 import base64
+import functools
 import re
 from collections.abc import Iterator
 from pathlib import Path
@@ -37,8 +38,8 @@ from barloom.llm.common import durable, word_count
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Bytes a vocabulary file may have to be sent to every executor.
 MAX_VOCABULARY = 64 << 20
-# Words whose count a worker remembers.
-REMEMBERED = 1 << 20
+# Words whose count a worker remembers: some 20 MB.
+REMEMBERED = 1 << 17
 TWO_SPACES = re.compile(r"\s\s")
 KEYS = ["source", "lang", "version"]
 
@@ -71,6 +72,12 @@ class BpeCounter:
         return total
 
 
+@functools.lru_cache(maxsize=1)
+def _counter(ranks: bytes) -> BpeCounter:
+    """One counter for all tasks of a worker."""
+    return BpeCounter(ranks)
+
+
 def bpe_counts(docs: DataFrame, path: str, version: str) -> DataFrame:
     """``(doc_id, source, lang, version, tokens)`` of every row, by the ranks file at ``path``.
 
@@ -82,7 +89,7 @@ def bpe_counts(docs: DataFrame, path: str, version: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = BpeCounter(shared.value)
+        counter = _counter(shared.value)
         for batch in batches:
             counts = pa.array([counter.count(t.as_py()) for t in batch.column(3)], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], counts], names=["doc_id", "source", "lang", "tokens"])
