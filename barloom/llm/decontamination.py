@@ -1,8 +1,10 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Test items are cut into segments of up to ``SEGMENT`` words. The n-grams of the segments are counted
-over the whole corpus; the rarer half of each segment's n-grams are its seeds, so that an item has
-seeds however often it has leaked. A second scan cuts a passage around every seed found in a
+over the whole corpus. All that occur are seeds, except those in more than ``RARE`` documents and
+more than ``COMMON`` times as frequent as the mean of their segment, which one in ``COMMON`` can be:
+an item has seeds however often it has leaked, and so has an edited copy that keeps few of its
+n-grams, alone or beside exact copies. A copy that keeps no run of ``n`` words is not found. A second scan cuts a passage around every seed found in a
 document. Passages and segments that share a seed are joined and aligned word by word, locally, with
 gaps, and a pair counts if the alignment reaches ``least`` of the score of a perfect copy. Equal
 passages are aligned once, however many documents hold them.
@@ -31,6 +33,8 @@ from barloom.llm.common import durable, sized
 
 # Words of a segment, and of the stretch around seeds that is aligned with it.
 SEGMENT, MARGIN, PASSAGE = 64, 72, 256
+# An n-gram is a common phrase, and no seed, in more documents than RARE and COMMON times the mean of its segment.
+RARE, COMMON = 1000, 8
 # Alignment scores of a word: equal, different, left out or put in.
 MATCH, MISMATCH, GAP = 2, -1, -1
 # The bit filter has 16 bits for each n-gram, within these powers of two: 16 MB at most.
@@ -172,7 +176,7 @@ def passes(codes: np.ndarray, bits: int, packed: np.ndarray) -> np.ndarray:
 
 
 def gram_frequencies(docs: DataFrame, codes: DataFrame, n: int) -> DataFrame:
-    """``(code, df)``: number of documents of the whole corpus that hold each n-gram of ``codes``."""
+    """``(code, df)``: documents of the whole corpus that hold each n-gram of ``codes``; none for one that no document holds."""
     shared = docs.sparkSession.sparkContext.broadcast(bit_filter(codes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +189,7 @@ def gram_frequencies(docs: DataFrame, codes: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(count.astype(np.int64))], names=["code", "df"])
 
     counted = docs.select(F.col("text").cast("string")).mapInArrow(run, "code long, df long").groupBy("code").agg(F.sum("df").alias("df"))
-    return codes.join(counted, "code", "left").select("code", F.coalesce("df", F.lit(0)).alias("df"))
+    return codes.join(counted, "code")
 
 
 def passages(docs: DataFrame, seeds: DataFrame, n: int) -> DataFrame:
@@ -251,7 +255,10 @@ def align(segment: np.ndarray, passage: np.ndarray) -> np.ndarray:
 
 
 def aligned(pairs: DataFrame, least: float) -> DataFrame:
-    """``(pid, item_id, score)`` of ``pairs`` (pid, item_id, passage, segment) that reach ``least``."""
+    """``(pid, item_id, score)`` of ``pairs`` (pid, item_id, passage, segment) that reach ``least``.
+
+    Only passages that hold ``least`` of the segment's words can, and only they are aligned.
+    """
 
     def coded(texts: list[str], ids: dict[str, int], pad: int) -> np.ndarray:
         rows = [[ids.setdefault(w, len(ids)) for w in t.split(" ")] for t in texts]
@@ -266,10 +273,13 @@ def aligned(pairs: DataFrame, least: float) -> DataFrame:
                 part = batch.slice(at, 256)
                 ids: dict[str, int] = {}
                 ones, twos = part.column(3).to_pylist(), part.column(2).to_pylist()
-                score = align(coded(ones, ids, -1), coded(twos, ids, -2))
-                share = score / (MATCH * np.array([t.count(" ") + 1 for t in ones]))
-                good = np.flatnonzero(share >= least)
-                kept = part.select([0, 1]).take(pa.array(good))
+                one, two = coded(ones, ids, -1), coded(twos, ids, -2)
+                length = np.array([t.count(" ") + 1 for t in ones])
+                row = np.arange(len(one))[:, None] * (len(ids) + 2)
+                may = np.flatnonzero(np.isin(one + row, two + row).sum(1) >= least * length - 1e-9)
+                share = align(one[may], two[may]) / (MATCH * length[may])
+                good = share >= least
+                kept = part.select([0, 1]).take(pa.array(may[good]))
                 yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(share[good])], names=["pid", "item_id", "score"])
 
     kind = pairs.schema["item_id"].dataType.simpleString()
@@ -286,9 +296,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 4, least: floa
     grams = parts.select("segment", F.explode("codes").alias("code"))
     counted = gram_frequencies(docs, durable(grams.select("code").distinct()), n)
     ranked = grams.join(durable(counted), "code")
-    # The rarer half, ties included: a segment always keeps seeds.
-    middle = ranked.groupBy("segment").agg(F.percentile("df", F.lit(0.5)).alias("middle"))
-    seeds = durable(ranked.join(middle, "segment").filter(F.col("df") <= F.col("middle")).select("segment", "code"))
+    usual = ranked.groupBy("segment").agg(F.avg("df").alias("usual"))
+    seeds = durable(ranked.join(usual, "segment").filter(F.col("df") <= F.greatest(F.lit(RARE), COMMON * F.col("usual"))).select("segment", "code"))
     found = durable(passages(docs, durable(seeds.select("code").distinct()), n).withColumn("pid", F.md5("words")))
     distinct = found.select("pid", "words", "codes").dropDuplicates(["pid"])
     pairs = distinct.select("pid", F.explode("codes").alias("code")).join(seeds, "code").select("pid", "segment").distinct()

@@ -108,6 +108,30 @@ def test_an_item_in_most_documents_is_still_found(spark, world):
     assert {r.doc_id for r in dc.contamination(docs, items).collect()} == set(range(60))
 
 
+@pytest.mark.parametrize("rare", [dc.RARE, 0])
+@pytest.mark.parametrize("copies, edits", [(0, 1), (1, 1), (20, 1), (1, 20)])
+def test_an_item_with_every_fifth_word_replaced_is_found(spark, world, monkeypatch, copies, edits, rare):
+    monkeypatch.setattr(dc, "RARE", rare)
+    item = world["item"]
+    broken = [w if k % 5 else f"instead{k}" for k, w in enumerate(item)]
+    texts = [" ".join([*item, f"own{k}"]) for k in range(copies)] + [" ".join([f"other{k}", *broken]) for k in range(edits)]
+    docs = spark.createDataFrame([*enumerate(texts), (99, " ".join(world["clean"]))], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert {r.doc_id for r in dc.contamination(docs, items).collect()} == set(range(copies + edits))
+
+
+def test_phrases_that_are_common_everywhere_are_no_seeds(spark, world, monkeypatch):
+    monkeypatch.setattr(dc, "RARE", 5)
+    phrase = world["item"][:5]
+    texts = [f"{' '.join(phrase)} own{k}" for k in range(60)] + [" ".join(world["item"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen, scan = [], dc.passages
+    monkeypatch.setattr(dc, "passages", lambda d, seeds, n: seen.append(seeds.count()) or scan(d, seeds, n))
+    items = spark.createDataFrame([(1, " ".join(world["item"]))], "item_id long, text string")
+    assert {r.doc_id for r in dc.contamination(docs, items).collect()} == {60}
+    assert seen == [35]
+
+
 def test_long_items_are_cut_into_segments(spark, world):
     item = " ".join(world["clean"][:300])
     docs = spark.createDataFrame([(1, " ".join(world["copy"] + world["clean"][100:200])), (2, " ".join(world["copy"]))], "doc_id long, text string")
