@@ -6,7 +6,9 @@ population counts differ by more than the radius are skipped. What shares a tile
 no close pair is lost: two fingerprints within radius r agree on at least one of r + 1 bit segments
 (``link_fingerprints``); two sets with Jaccard similarity s differ in size by a factor of 1 / s at
 most (``link_similar``). Copies of one fingerprint are collapsed before anything is compared, and
-links inside a unit of work leave it as a spanning forest, never as all pairs.
+links inside a unit of work leave it as a spanning forest, never as all pairs. The similarity form
+screens pairs by fingerprint and links only those whose exact Jaccard similarity is high enough; pairs
+that verified links do not already join all leave their unit to be verified.
 
 Cost: the segments make the narrow radius cheap at any size; the similarity form compares all texts
 of like size with each other, so its comparisons, though a few nanoseconds each and spread over all
@@ -19,6 +21,7 @@ of its equals, but names no component. Extra columns are ignored, empty tables g
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +40,8 @@ BLOCK = 1 << 15
 # Rows of a tile in the similarity form: every tile travels to all it is compared with, so fewer and
 # larger ones shuffle less. Two of them take a few megabytes.
 WIDE_TILE = 8192
+# Up to FEW shingles the spread of fingerprints is summed exactly. An estimate LIKELY above the threshold makes a clear pair.
+FEW, LIKELY = 64, 0.03
 # Multiplier and shifts of the finaliser that derives further words from one hash. Fixed values.
 GOLDEN, MIX_1, MIX_2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
@@ -204,26 +209,28 @@ def _with_component(marked: DataFrame, values: DataFrame, linked: DataFrame, key
 # The similarity form: sets of shingles, longer fingerprints.
 
 
-def sketch(hashes: np.ndarray, width: int) -> tuple[int, np.ndarray]:
-    """Number of distinct shingles and their ``width``-word fingerprint."""
+def sketch(hashes: np.ndarray, width: int) -> tuple[int, int, np.ndarray]:
+    """Key of the set of shingles, its size and its ``width``-word fingerprint."""
     distinct = np.unique(hashes)
-    return len(distinct), fingerprint(distinct, width)
+    key = np.uint64(xxhash.xxh64_intdigest(distinct.astype("<u8").tobytes(), SEED)).astype(np.int64)
+    return int(key), len(distinct), fingerprint(distinct, width)
 
 
 def sketches(docs: DataFrame, words: int, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, text_key, n, sketch binary)``: md5, distinct shingles and fingerprint of every row."""
+    """``(doc_id, text_key, key, n, sketch binary)``: md5, key, distinct shingles and fingerprint of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [sketch(shingle_hashes(t.as_py(), words), width) for t in batch.column(2)]
-            sizes = pa.array([n for n, _ in found], pa.int32())
-            data = pa.array([s.tobytes() for _, s in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], sizes, data], names=["doc_id", "text_key", "n", "sketch"])
+            keys = pa.array([k for k, _, _ in found], pa.int64())
+            sizes = pa.array([n for _, n, _ in found], pa.int32())
+            data = pa.array([s.tobytes() for _, _, s in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], keys, sizes, data], names=["doc_id", "text_key", "key", "n", "sketch"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     text = F.col(text_col).cast("string")
     source = docs.select(F.col(id_col).alias("doc_id"), text_key(text).alias("text_key"), text.alias("text"))
-    return source.mapInArrow(run, f"doc_id {kind}, text_key string, n int, sketch binary")
+    return source.mapInArrow(run, f"doc_id {kind}, text_key string, key long, n int, sketch binary")
 
 
 def text_key(text: Column) -> Column:
@@ -237,31 +244,68 @@ def similarity(n_one: np.ndarray, n_two: np.ndarray, apart: np.ndarray, bits: in
     return shared / np.maximum(n_one + n_two - shared, 1)
 
 
-def link_similar(values: DataFrame, least: float = 0.8, width: int = 8, margin: float = 0.03) -> DataFrame:
-    """``(src, dst)``: spanning links of values (node long, n, sketch) with Jaccard >= ``least``.
+@functools.cache
+def few_apart(least: float) -> np.ndarray:
+    """Greatest chance that a bit differs, by the sizes of two sets of up to ``FEW`` with Jaccard >= ``least``.
 
-    Pairs count from an estimate of ``least - margin``, so that noise loses few at the threshold.
-
-    The first word of a sketch screens pairs, at a radius four standard deviations beyond the
-    distance that ``least`` implies for sets of one size; the whole sketch decides.
+    Of few shingles a majority bit is not that of a normal distribution, and even counts can tie, so
+    the chance is summed over the binomial counts. -1 where sizes rule the similarity out.
     """
-    bits = 64 * width
-    least -= margin
-    apart = float(np.arccos(2 * least / (1 + least)) / np.pi)
-    screen = int(np.ceil(64 * apart + 4 * np.sqrt(64 * apart * (1 - apart))))
+    rows = [np.ones(1)]
+    for _ in range(FEW):
+        rows.append(np.convolve(rows[-1], [0.5, 0.5]))
+    # more[n][k]: chance that of n bits k or more are ones.
+    more = [np.concatenate([np.cumsum(r[::-1])[::-1], np.zeros(1)]) for r in rows]
+    out = np.full((FEW + 1, FEW + 1), -1.0)
+    for one in range(FEW + 1):
+        for two in range(FEW + 1):
+            for shared in range(int(np.ceil(least * (one + two) / (1 + least) - 1e-9)), min(one, two) + 1):
+                common = np.arange(shared + 1)
+                a, b = (more[n - shared][np.clip(n // 2 + 1 - common, 0, n - shared + 1)] for n in (one, two))
+                out[one, two] = max(out[one, two], float(rows[shared] @ (a * (1 - b) + b * (1 - a))))
+    return out
+
+
+def most_apart(n_one: np.ndarray, n_two: np.ndarray, least: float, bits: int) -> np.ndarray:
+    """Distance of ``bits``-bit fingerprints that sets with Jaccard >= ``least`` exceed by chance only, at four standard deviations."""
+    shared = least * (n_one + n_two) / (1 + least)
+    chance = np.arccos(np.minimum(shared / np.maximum(np.sqrt(n_one * n_two), 1), 1)) / np.pi
+    few = (n_one <= FEW) & (n_two <= FEW)
+    chance[few] = few_apart(least)[n_one[few].astype(int), n_two[few].astype(int)]
+    chance[np.minimum(n_one, n_two) < least * np.maximum(n_one, n_two) - 1e-9] = -1
+    spread = np.sqrt(bits * np.maximum(chance * (1 - chance), 0))
+    return np.where(chance < 0, -1, bits * chance + 4 * spread)
+
+
+def similar_units(values: DataFrame, least: float) -> DataFrame:
+    """Units of work over values (node long, own long, n, sketch) of like size."""
     # Sets with Jaccard >= least differ in size by 1 / least at most: same or next class.
     classes = F.floor(F.log(F.greatest(F.col("n"), F.lit(1))) / float(-np.log(least)) + 1e-9).cast("int")
-    rows = values.select(F.lit(0).alias("all"), classes.alias("band"), "node", "n", "sketch")
-    units = tile_units(rows, ["all"], ["node", "n", "sketch"], F.xxhash64("node"), 1, tile=WIDE_TILE)
+    rows = values.select(F.lit(0).alias("all"), classes.alias("band"), "node", "own", "n", "sketch")
+    return tile_units(rows, ["all"], ["node", "own", "n", "sketch"], F.xxhash64("node"), 1, tile=WIDE_TILE)
+
+
+def candidates(values: DataFrame, least: float, width: int, likely: bool) -> DataFrame:
+    """``(src, dst)``: pairs of values (node, own, n, sketch) that may have Jaccard >= ``least``.
+
+    If ``likely``, a spanning forest of those whose estimate is ``LIKELY`` above it; else all within
+    four standard deviations whose ``own`` differ. The first word of a sketch screens pairs, at four
+    standard deviations too; the whole sketch decides.
+    """
+    bits = 64 * width
+    asymptotic = float(np.arccos(2 * least / (1 + least)) / np.pi)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(len(batch)):
                 sides = [batch.column(c)[at] for c in ("left", "right")]
-                nodes, sizes, data = (np.concatenate(x) for x in zip(*(_side(s.values, width) for s in sides if s.is_valid)))
+                nodes, owns, sizes, data = (np.concatenate(x) for x in zip(*(_side(s.values, width) for s in sides if s.is_valid)))
                 first = len(sides[0].values)
                 within = not sides[1].is_valid
                 word = np.ascontiguousarray(data[:, 0])
+                smallest = int(sizes.min())
+                chance = max(asymptotic, float(few_apart(least)[smallest:, smallest:].max()) if smallest <= FEW else 0.0)
+                screen = int(np.ceil(64 * chance + 4 * np.sqrt(64 * chance * (1 - chance))))
 
                 def pairs():
                     for top in range(0, first, 128):
@@ -272,36 +316,74 @@ def link_similar(values: DataFrame, least: float = 0.8, width: int = 8, margin:
                         i, j = i + block.start, j + rest.start
                         for k in range(0, len(i), 1 << 16):
                             a, b = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
+                            other = (a < b) & (owns[a] != owns[b])
+                            a, b = a[other], b[other]
                             away = np.bitwise_count(data[a] ^ data[b]).sum(1, dtype=np.int64)
-                            like = (similarity(sizes[a], sizes[b], away, bits) >= least) & (a != b)
-                            yield a[like], b[like]
-
-                if edges := forest(len(nodes), pairs()):
-                    one, two = np.array(edges).T
+                            if likely:
+                                like = similarity(sizes[a], sizes[b], away, bits) >= least + LIKELY
+                            else:
+                                like = away <= most_apart(sizes[a], sizes[b], least, bits)
+                            if like.any():
+                                yield a[like], b[like]
+
+                found = [np.array(forest(len(nodes), pairs()), np.int64).reshape(-1, 2).T] if likely else pairs()
+                for one, two in found:
                     yield pa.RecordBatch.from_arrays([pa.array(nodes[one]), pa.array(nodes[two])], names=["src", "dst"])
 
-    return units.select("left", "right").mapInArrow(run, "src long, dst long").distinct()
+    units = similar_units(values, least)
+    return units.select("left", "right").mapInArrow(run, "src long, dst long")
 
 
-def _side(items: pa.StructArray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    nodes = items.field("node").to_numpy(zero_copy_only=False)
-    sizes = items.field("n").to_numpy(zero_copy_only=False).astype(np.float64)
+def _side(items: pa.StructArray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    nodes, owns, sizes = (items.field(c).to_numpy(zero_copy_only=False) for c in ("node", "own", "n"))
     data = np.frombuffer(b"".join(items.field("sketch").to_pylist()), dtype="<u8").reshape(-1, width)
-    return nodes, sizes, data
+    return nodes, owns, sizes.astype(np.float64), data
+
+
+def shingle_sets(docs: DataFrame, texts: DataFrame, words: int, text_col: str = "text") -> DataFrame:
+    """``(node, shingles array<long>)``: the distinct shingle hashes of ``texts`` (node, text_key), found in ``docs``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(len(batch)):
+                hashes = np.unique(shingle_hashes(batch.column(1)[at].as_py(), words)).view(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array([0, len(hashes)], pa.int32()), pa.array(hashes, pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1), lists], names=["node", "shingles"])
+
+    text = F.col(text_col).cast("string")
+    source = docs.select(text_key(text).alias("text_key"), text.alias("text")).join(sized(texts), "text_key")
+    return durable(source.select("node", "text").mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"]))
+
+
+def verified(docs: DataFrame, values: DataFrame, pairs: DataFrame, words: int, least: float, text_col: str = "text") -> DataFrame:
+    """The ``pairs`` (src, dst) of values whose shingle-hash sets have exact Jaccard >= ``least``."""
+    pairs = durable(pairs.distinct())
+    wanted = pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    sets = shingle_sets(docs, durable(values.select("node", "text_key").join(wanted, "node")), words, text_col)
+    both = pairs.join(sets.select(F.col("node").alias("src"), F.col("shingles").alias("one")), "src")
+    both = both.join(sets.select(F.col("node").alias("dst"), F.col("shingles").alias("two")), "dst")
+    shared = F.size(F.array_intersect("one", "two"))
+    return durable(both.filter(shared >= least * (F.size("one") + F.size("two") - shared) - 1e-9).select("src", "dst"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, width: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, text_key, key, component_id)``: groups of texts with Jaccard >= ``least`` on shingles.
 
-    Similarity is read off fingerprints of 64 * ``width`` bits, with a standard deviation of about
-    0.04 at 512 bits; equal shingle sets always group. ``key`` tells different sketches apart.
+    Fingerprints of 64 * ``width`` bits screen pairs with four standard deviations of slack; exact
+    Jaccard over the sets of shingle hashes decides. Clear pairs come first, as spanning forests, so
+    that a large group of near copies is joined before all remaining pairs are verified. Equal
+    shingle sets always group; ``key`` tells different sets apart.
     """
-    marked = durable(sketches(docs, words, width, id_col, text_col).withColumn("key", F.xxhash64("n", "sketch")))
+    marked = durable(sketches(docs, words, width, id_col, text_col))
     values = marked.groupBy(F.col("key").alias("node")).agg(
-        F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+        F.min("doc_id").alias("least"), F.min("text_key").alias("text_key"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
     )
     values = durable(values)
-    linked = durable(connected_components(link_similar(values, least, width)))
+    clear = verified(docs, values, candidates(values.withColumn("own", F.col("node")), least, width, True), words, least, text_col)
+    joined = durable(connected_components(clear))
+    owned = values.join(joined, "node", "left").withColumn("own", F.coalesce("component", "node"))
+    rest = verified(docs, values, candidates(durable(owned.select("node", "own", "n", "sketch")), least, width, False), words, least, text_col)
+    linked = durable(connected_components(clear.unionByName(rest)))
     named = values.select(F.col("node").alias("key"), "least")
     return _with_component(marked.select("doc_id", "text_key", "key"), named, linked, "key")
 

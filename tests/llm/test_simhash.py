@@ -94,6 +94,23 @@ def test_similar_texts_group_and_others_do_not(spark):
     assert kept == {k for k in range(120) if k % 3 != 1}
 
 
+def test_links_are_exactly_those_of_the_threshold(spark):
+    # (shingles of both, only of the first, only of the second): 0.78 and less stay apart, 0.8 and more group.
+    shapes = [(4, 0, 1), (12, 0, 3), (8, 1, 1), (16, 2, 2), (48, 6, 6), (80, 10, 10), (82, 9, 9), (200, 25, 25), (41, 4, 5)]
+    shapes += [(7, 1, 1), (11, 0, 3), (15, 2, 2), (39, 5, 6), (78, 11, 11), (79, 0, 21), (195, 27, 28), (74, 13, 13), (70, 15, 15)]
+    texts, want = [], []
+    for trial in range(30):
+        for shape, (both, one, two) in enumerate(shapes):
+            for side, extra in enumerate((one, two)):
+                run = [f"t{trial}s{shape}w{k}" for k in range(both + 4)] + [f"t{trial}s{shape}x{side}{k}" for k in range(extra)]
+                texts.append((len(texts), " ".join(run)))
+            want.append(both >= 0.8 * (both + one + two) - 1e-9)
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert [found[2 * k + 1] == 2 * k for k in range(len(want))] == want
+    assert all(found[2 * k] == 2 * k for k in range(len(want)))
+
+
 def test_components_of_a_long_path_and_of_strings(spark):
     edges = [(k, k + 1) for k in range(100)] + [(500, 501), (7, 7), (None, 3)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
