@@ -2,8 +2,9 @@
 
 A text is a vector of hashed character 1- to 3-grams, weighted by TF-IDF and normalised. Each
 language has several centroids, found by spherical k-means; a text gets the language of the centroid
-with the highest cosine. It is rejected if that cosine is less than a share of what the centroid's
-own training texts reach at their low end.
+with the highest cosine. It is rejected if that cosine is less than a share of what training
+texts reach at their low end, in the language where that is lowest. That share, and enough buckets that chance collisions add
+little, keep the bar between short texts of a language and texts of other scripts or of no language.
 
 Document frequencies are counted over all training rows. Centroids are fitted on a sample of
 ``sample`` training texts per language, the bound of the fit; the classifier is a table of at most
@@ -31,8 +32,9 @@ from barloom.llm.common import durable, sized
 
 UNKNOWN = "und"
 # Buckets of the hashed n-grams.
-BUCKETS = 4096
-# Languages that a classifier may have: 256 of 4 centroids of 4096 floats are 17 MB.
+BITS = 14
+BUCKETS = 1 << BITS
+# Languages that a classifier may have: 256 of 4 centroids of 16,384 floats are 67 MB.
 MAX_LANGUAGES = 256
 # Odd multiplier of the multiplicative hash. Fixed value.
 MULTIPLIER = 0x9E3779B97F4A7C15
@@ -73,7 +75,7 @@ def gram_counts(text: str | None) -> np.ndarray | None:
                 grams = grams[:BLOCK]
             mixed = (grams + np.uint64(n << 62 if n < 3 else 0)) * np.uint64(MULTIPLIER)
             mixed ^= mixed >> np.uint64(29)
-            buckets = (mixed * np.uint64(MULTIPLIER)) >> np.uint64(52)
+            buckets = (mixed * np.uint64(MULTIPLIER)) >> np.uint64(64 - BITS)
             if n == 0:
                 buckets = buckets[grams != 32]
             counts += np.bincount(buckets.astype(np.int64), minlength=BUCKETS)
@@ -125,7 +127,7 @@ def spherical_means(x: np.ndarray, clusters: int, rounds: int = 15) -> tuple[np.
     return centroids, np.argmax(x @ centroids.T, axis=1)
 
 
-def fit(docs: DataFrame, clusters: int = 4, sample: int = 1000, quantile: float = 0.01, slack: float = 0.05) -> dict:
+def fit(docs: DataFrame, clusters: int = 4, sample: int = 1000, quantile: float = 0.01, slack: float = 0.4) -> dict:
     """Centroids from ``docs`` (doc_id, text, lang), all of them rows to learn from."""
     rows = docs.filter("lang is not null and doc_id is not null and text is not null")
     idf = inverse_frequencies(rows)
@@ -156,11 +158,9 @@ def fit(docs: DataFrame, clusters: int = 4, sample: int = 1000, quantile: float
             x[k, at] = value
         centroids, own = spherical_means(x, clusters)
         near = np.einsum("ij,ij->i", x, centroids[own])
-        rows = []
-        for k in range(len(centroids)):
-            mine = near[own == k]
-            floor = float(np.quantile(mine, quantile)) * slack if len(mine) else 0.0
-            rows.append((group["lang"].iloc[0], k, floor, centroids[k].astype(np.float32)))
+        # Not by cluster: a small one's floor would follow its few texts.
+        floor = float(np.quantile(near, quantile)) * slack
+        rows = [(group["lang"].iloc[0], k, floor, c.astype(np.float32)) for k, c in enumerate(centroids)]
         return pd.DataFrame(rows, columns=["lang", "cluster", "floor", "centroid"])
 
     sparse = picked.select("lang", F.col("doc_id").cast("long"), "text").mapInArrow(
@@ -174,7 +174,7 @@ def fit(docs: DataFrame, clusters: int = 4, sample: int = 1000, quantile: float
     return {
         "idf": idf,
         "langs": [r.lang for r in found],
-        "floors": np.array([r.floor for r in found]),
+        "floors": np.full(len(found), min((r.floor for r in found), default=0.0)),
         "centroids": np.array([r.centroid for r in found], dtype=np.float32).reshape(len(found), BUCKETS).T.copy(),
     }
 
