@@ -38,6 +38,8 @@ BUCKETS = 1 << BITS
 MAX_LANGUAGES = 256
 # Odd multiplier of the multiplicative hash. Fixed value.
 MULTIPLIER = 0x9E3779B97F4A7C15
+# A cluster of less than this share of a language's sample is started anew, and left out if it stays so small.
+LEAST_SHARE = 0.02
 # Characters hashed at once: bounds the memory for one very long text.
 BLOCK = 1 << 18
 
@@ -114,16 +116,34 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
 def spherical_means(x: np.ndarray, clusters: int, rounds: int = 15) -> tuple[np.ndarray, np.ndarray]:
     """Unit centroids of the unit rows of ``x``, and the centroid of each row.
 
-    Starts from the row nearest the mean, then from rows least like the starts so far.
+    Starts from seeded k-means++ draws, the best of a few each time. Small clusters are drawn anew in
+    the first half of the rounds; those that stay small are left out, so there may be fewer.
     """
-    starts = [int(np.argmax(x @ x.mean(0)))]
-    while len(starts) < min(clusters, len(x)):
-        starts.append(int(np.argmin((x @ x[starts].T).max(1))))
-    centroids = x[starts]
-    for _ in range(rounds):
+    random = np.random.default_rng(len(x))
+    small = LEAST_SHARE * len(x)
+
+    def draw(centroids: np.ndarray) -> np.ndarray:
+        """The row, of a few drawn by distance from the centroids, that leaves the least distance."""
+        away = np.maximum(1 - (x @ centroids.T).max(1), 0).astype(np.float64)
+        if away.sum() <= 1e-9 * len(x):
+            return x[:1]
+        drawn = random.choice(len(x), 4, p=away / away.sum())
+        left = np.minimum(away[:, None], 1 - x @ x[drawn].T).sum(0)
+        return x[drawn[np.argmin(left)]][None]
+
+    centroids = x[[int(np.argmax(x @ x.mean(0)))]]
+    while len(centroids) < min(clusters, len(x)):
+        centroids = np.concatenate([centroids, draw(centroids)])
+    for turn in range(rounds):
         own = np.argmax(x @ centroids.T, axis=1)
-        sums = np.stack([x[own == k].sum(0) if (own == k).any() else centroids[k] for k in range(len(centroids))])
+        sizes = np.bincount(own, minlength=len(centroids))
+        sums = np.stack([x[own == k].sum(0) if size else centroids[k] for k, size in enumerate(sizes)])
         centroids = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
+        if turn < rounds // 2:
+            for k in np.flatnonzero(sizes < small):
+                centroids[k] = draw(np.delete(centroids, k, axis=0))[0]
+    sizes = np.bincount(np.argmax(x @ centroids.T, axis=1), minlength=len(centroids))
+    centroids = centroids[(sizes >= small) & (sizes > 0)]
     return centroids, np.argmax(x @ centroids.T, axis=1)
 
 

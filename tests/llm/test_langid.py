@@ -43,6 +43,17 @@ def test_several_centroids_are_found():
     assert len({tuple(own[k::4]) for k in range(4)}) == 4 and all(len(set(own[k::4])) == 1 for k in range(4))
 
 
+def test_outliers_get_no_centroid_of_their_own():
+    random = np.random.default_rng(6)
+    groups = np.eye(4, 400)
+    x = np.abs(groups[np.arange(400) % 4] * 0.6 + random.normal(scale=0.04, size=(400, 400)))
+    x[:6] = np.eye(400)[100:106]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    centroids, own = langid.spherical_means(x, 4)
+    assert np.bincount(own).min() >= 0.02 * len(x)
+    assert len({np.bincount(own[6:][np.arange(6, 400) % 4 == k]).argmax() for k in range(4)}) == 4
+
+
 FOREIGN = {
     "ru": "Привет мир как дела сегодня хорошая погода мы идём гулять в парк вместе с друзьями и собакой",
     "el": "Καλημέρα κόσμε τι κάνετε σήμερα ο καιρός είναι καλός και πάμε στο πάρκο με τους φίλους μας",
