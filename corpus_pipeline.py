@@ -25,8 +25,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: five-word shingles, similarity 0.8 or more."""
-    return simhash.keep_one_each(docs, words=5, least=0.8)
+    """One document of each group of linked fingerprints stays."""
+    return simhash.keep_one_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
