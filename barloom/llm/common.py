@@ -74,3 +74,14 @@ def word_count(text: str | Column) -> Column:
     """Number of words; 0 for NULL."""
     text = F.col(text) if isinstance(text, str) else text
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like ``names`` that no column of ``df`` has, whatever its case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while f"_{name}" in taken:
+            name = f"_{name}"
+        taken.add(f"_{name}")
+        out.append(f"_{name}")
+    return out

@@ -3,25 +3,19 @@
 A fingerprint has a 1 where more than half of a text's shingle hashes have one. Fingerprints are
 compared exactly, with numpy exclusive-or and bit counts over tiles (``tiles``), and tiles whose
 population counts differ by more than the radius are skipped. What shares a tile is chosen so that
-no close pair is lost: two fingerprints within radius r agree on at least one of r + 1 bit segments
-(``link_fingerprints``); two sets with Jaccard similarity s differ in size by a factor of 1 / s at
-most (``link_similar``). Copies of one fingerprint are collapsed before anything is compared, and
-links inside a unit of work leave it as a spanning forest, never as all pairs. The similarity form
-screens pairs by fingerprint and links only those whose exact Jaccard similarity is high enough; pairs
-that verified links do not already join all leave their unit to be verified.
-
-Cost: the segments make the narrow radius cheap at any size; the similarity form compares all texts
-of like size with each other, so its comparisons, though a few nanoseconds each and spread over all
-tasks, grow with the square of the distinct texts.
-
-Edge cases: a NULL or blank text has no shingle and fingerprint zero, linked like any other. Rows
-that repeat a doc_id share its fingerprint rows; a NULL doc_id gets a fingerprint and the component
-of its equals, but names no component. Extra columns are ignored, empty tables give empty results.
+no close pair is lost: two fingerprints within radius r agree on at least one of r + 1 bit segments.
+Copies of one fingerprint are collapsed before anything is compared, and links inside a unit of work
+leave it as a spanning forest, never as all pairs.
+
+Edge cases: a NULL or blank text has no shingle and fingerprint zero, linked like any other. A very
+long text is hashed whole, ``BLOCK`` shingles at a time. Rows that repeat a doc_id share its
+fingerprint rows; a NULL doc_id gets a fingerprint and the component of its equals, but names no
+component. Extra columns are ignored, or carried by ``keep_one_each`` whatever their names; empty
+tables give empty results.
 """
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,20 +24,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import durable, sized
+from barloom.llm.common import durable, sized, unused
 from barloom.llm.components import connected_components
 from barloom.llm.tiles import tile_units
 
 SEED = 42
 # Shingles whose bits are counted at once: bounds the memory for one very long text.
 BLOCK = 1 << 15
-# Rows of a tile in the similarity form: every tile travels to all it is compared with, so fewer and
-# larger ones shuffle less. Two of them take a few megabytes.
-WIDE_TILE = 8192
-# Up to FEW shingles the spread of fingerprints is summed exactly. An estimate LIKELY above the threshold makes a clear pair.
-FEW, LIKELY = 64, 0.03
-# Multiplier and shifts of the finaliser that derives further words from one hash. Fixed values.
-GOLDEN, MIX_1, MIX_2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -60,40 +47,32 @@ def shingle_hashes(text: str | None, words: int) -> np.ndarray:
     return np.fromiter((digest(run, SEED) for run in runs), dtype=np.uint64)
 
 
-def widen(hashes: np.ndarray, width: int) -> np.ndarray:
-    """``width`` hash words for each hash; the first is the hash itself."""
-    if width == 1:
-        return hashes[:, None]
-    steps = np.arange(width, dtype=np.uint64) * np.uint64(GOLDEN)
-    x = hashes[:, None] + steps[None, :]
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(MIX_1)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(MIX_2)
-    x ^= x >> np.uint64(31)
-    x[:, 0] = hashes
-    return x
-
-
-def fingerprint(hashes: np.ndarray, width: int = 1) -> np.ndarray:
-    """Majority bits of the hashes as ``width`` unsigned words; zeros for no hash."""
-    ones = np.zeros(64 * width, dtype=np.int64)
+def fingerprint(hashes: np.ndarray) -> np.uint64:
+    """Majority bits of the hashes; zero for no hash."""
+    ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), BLOCK):
-        block = np.ascontiguousarray(widen(hashes[at : at + BLOCK], width)).astype("<u8", copy=False)
+        block = np.ascontiguousarray(hashes[at : at + BLOCK]).astype("<u8", copy=False)
         ones += np.unpackbits(block.view(np.uint8).reshape(len(block), -1), axis=1, bitorder="little").sum(0, dtype=np.uint32)
-    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0]
 
 
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp)`` for every row; ``fp`` holds the 64 bits as a signed long."""
+    """``(doc_id, text_key, fp)`` for every row: md5 of the text, and the 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(shingle_hashes(t.as_py(), words))[0] for t in batch.column(1)]
+            found = [fingerprint(shingle_hashes(t.as_py(), words)) for t in batch.column(2)]
             fps = pa.array(np.array(found, dtype=np.uint64).view(np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], fps], names=["doc_id", "text_key", "fp"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, f"doc_id {kind}, fp long")
+    text = F.col(text_col).cast("string")
+    source = docs.select(F.col(id_col).alias("doc_id"), text_key(text).alias("text_key"), text.alias("text"))
+    return source.mapInArrow(run, f"doc_id {kind}, text_key string, fp long")
+
+
+def text_key(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
 
 
 def forest(n: int, close: Iterator[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int]]:
@@ -184,237 +163,56 @@ def _close_in_unit(left: np.ndarray, right: np.ndarray | None, radius: int) -> t
 
 
 def near_duplicate_fingerprints(docs: DataFrame, words: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp, component_id)`` for every row of ``docs``.
+    """``(doc_id, text_key, fp, group, component_id)`` for every row of ``docs``.
 
-    component_id is the smallest doc_id that links of ``radius`` bits or fewer reach, the row's own
-    included; NULL only where no row reached has a doc_id.
+    Links of ``radius`` bits or fewer make a group; ``group`` is its smallest fingerprint,
+    component_id its smallest doc_id, NULL only where no row of the group has one.
     """
     marked = durable(fingerprints(docs, words, id_col, text_col))
     values = durable(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
     # Labels of a component are its smallest fingerprint; only linked fingerprints have one.
     linked = durable(connected_components(link_fingerprints(values, radius)))
-    return _with_component(marked, values, linked, "fp")
-
-
-def _with_component(marked: DataFrame, values: DataFrame, linked: DataFrame, key: str) -> DataFrame:
-    """Rows with the smallest doc_id of their component; few values are linked at all."""
-    values = values.join(linked.withColumnRenamed("node", key), key, "left")
-    least = (
-        values.filter("component is not null").groupBy("component").agg(F.min("least").alias("component_id"))
-    )
-    named = values.join(least, "component", "left").select(key, F.coalesce("component_id", "least").alias("component_id"))
-    return marked.join(named, key)
-
-
-# The similarity form: sets of shingles, longer fingerprints.
-
-
-def sketch(hashes: np.ndarray, width: int) -> tuple[int, int, np.ndarray]:
-    """Key of the set of shingles, its size and its ``width``-word fingerprint."""
-    distinct = np.unique(hashes)
-    key = np.uint64(xxhash.xxh64_intdigest(distinct.astype("<u8").tobytes(), SEED)).astype(np.int64)
-    return int(key), len(distinct), fingerprint(distinct, width)
-
-
-def sketches(docs: DataFrame, words: int, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, text_key, key, n, sketch binary)``: md5, key, distinct shingles and fingerprint of every row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [sketch(shingle_hashes(t.as_py(), words), width) for t in batch.column(2)]
-            keys = pa.array([k for k, _, _ in found], pa.int64())
-            sizes = pa.array([n for _, n, _ in found], pa.int32())
-            data = pa.array([s.tobytes() for _, _, s in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], keys, sizes, data], names=["doc_id", "text_key", "key", "n", "sketch"])
-
-    kind = docs.select(id_col).schema[0].dataType.simpleString()
-    text = F.col(text_col).cast("string")
-    source = docs.select(F.col(id_col).alias("doc_id"), text_key(text).alias("text_key"), text.alias("text"))
-    return source.mapInArrow(run, f"doc_id {kind}, text_key string, key long, n int, sketch binary")
-
-
-def text_key(text: Column) -> Column:
-    return F.md5(F.coalesce(text, F.lit("")))
+    return _with_component(marked, values, linked)
 
 
-def similarity(n_one: np.ndarray, n_two: np.ndarray, apart: np.ndarray, bits: int) -> np.ndarray:
-    """Jaccard similarity of two sets from their sizes and the distance of their fingerprints."""
-    cosine = np.cos(np.pi * apart / bits)
-    shared = np.minimum(cosine * np.sqrt(n_one * n_two), np.minimum(n_one, n_two))
-    return shared / np.maximum(n_one + n_two - shared, 1)
-
-
-@functools.cache
-def few_apart(least: float) -> np.ndarray:
-    """Greatest chance that a bit differs, by the sizes of two sets of up to ``FEW`` with Jaccard >= ``least``.
-
-    Of few shingles a majority bit is not that of a normal distribution, and even counts can tie, so
-    the chance is summed over the binomial counts. -1 where sizes rule the similarity out.
-    """
-    rows = [np.ones(1)]
-    for _ in range(FEW):
-        rows.append(np.convolve(rows[-1], [0.5, 0.5]))
-    # more[n][k]: chance that of n bits k or more are ones.
-    more = [np.concatenate([np.cumsum(r[::-1])[::-1], np.zeros(1)]) for r in rows]
-    out = np.full((FEW + 1, FEW + 1), -1.0)
-    for one in range(FEW + 1):
-        for two in range(FEW + 1):
-            for shared in range(int(np.ceil(least * (one + two) / (1 + least) - 1e-9)), min(one, two) + 1):
-                common = np.arange(shared + 1)
-                a, b = (more[n - shared][np.clip(n // 2 + 1 - common, 0, n - shared + 1)] for n in (one, two))
-                out[one, two] = max(out[one, two], float(rows[shared] @ (a * (1 - b) + b * (1 - a))))
-    return out
-
-
-def most_apart(n_one: np.ndarray, n_two: np.ndarray, least: float, bits: int) -> np.ndarray:
-    """Distance of ``bits``-bit fingerprints that sets with Jaccard >= ``least`` exceed by chance only, at four standard deviations."""
-    shared = least * (n_one + n_two) / (1 + least)
-    chance = np.arccos(np.minimum(shared / np.maximum(np.sqrt(n_one * n_two), 1), 1)) / np.pi
-    few = (n_one <= FEW) & (n_two <= FEW)
-    chance[few] = few_apart(least)[n_one[few].astype(int), n_two[few].astype(int)]
-    chance[np.minimum(n_one, n_two) < least * np.maximum(n_one, n_two) - 1e-9] = -1
-    spread = np.sqrt(bits * np.maximum(chance * (1 - chance), 0))
-    return np.where(chance < 0, -1, bits * chance + 4 * spread)
-
-
-def similar_units(values: DataFrame, least: float) -> DataFrame:
-    """Units of work over values (node long, own long, n, sketch) of like size."""
-    # Sets with Jaccard >= least differ in size by 1 / least at most: same or next class.
-    classes = F.floor(F.log(F.greatest(F.col("n"), F.lit(1))) / float(-np.log(least)) + 1e-9).cast("int")
-    rows = values.select(F.lit(0).alias("all"), classes.alias("band"), "node", "own", "n", "sketch")
-    return tile_units(rows, ["all"], ["node", "own", "n", "sketch"], F.xxhash64("node"), 1, tile=WIDE_TILE)
-
-
-def candidates(values: DataFrame, least: float, width: int, likely: bool) -> DataFrame:
-    """``(src, dst)``: pairs of values (node, own, n, sketch) that may have Jaccard >= ``least``.
-
-    If ``likely``, a spanning forest of those whose estimate is ``LIKELY`` above it; else all within
-    four standard deviations whose ``own`` differ. The first word of a sketch screens pairs, at four
-    standard deviations too; the whole sketch decides.
-    """
-    bits = 64 * width
-    asymptotic = float(np.arccos(2 * least / (1 + least)) / np.pi)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(len(batch)):
-                sides = [batch.column(c)[at] for c in ("left", "right")]
-                nodes, owns, sizes, data = (np.concatenate(x) for x in zip(*(_side(s.values, width) for s in sides if s.is_valid)))
-                first = len(sides[0].values)
-                within = not sides[1].is_valid
-                word = np.ascontiguousarray(data[:, 0])
-                smallest = int(sizes.min())
-                chance = max(asymptotic, float(few_apart(least)[smallest:, smallest:].max()) if smallest <= FEW else 0.0)
-                screen = int(np.ceil(64 * chance + 4 * np.sqrt(64 * chance * (1 - chance))))
-
-                def pairs():
-                    for top in range(0, first, 128):
-                        block = slice(top, min(top + 128, first))
-                        rest = slice(top if within else first, len(nodes))
-                        close = np.bitwise_count(word[block, None] ^ word[None, rest]) <= screen
-                        i, j = np.divmod(np.flatnonzero(close), close.shape[1])
-                        i, j = i + block.start, j + rest.start
-                        for k in range(0, len(i), 1 << 16):
-                            a, b = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
-                            other = (a < b) & (owns[a] != owns[b])
-                            a, b = a[other], b[other]
-                            away = np.bitwise_count(data[a] ^ data[b]).sum(1, dtype=np.int64)
-                            if likely:
-                                like = similarity(sizes[a], sizes[b], away, bits) >= least + LIKELY
-                            else:
-                                like = away <= most_apart(sizes[a], sizes[b], least, bits)
-                            if like.any():
-                                yield a[like], b[like]
-
-                found = [np.array(forest(len(nodes), pairs()), np.int64).reshape(-1, 2).T] if likely else pairs()
-                for one, two in found:
-                    yield pa.RecordBatch.from_arrays([pa.array(nodes[one]), pa.array(nodes[two])], names=["src", "dst"])
-
-    units = similar_units(values, least)
-    return units.select("left", "right").mapInArrow(run, "src long, dst long")
-
-
-def _side(items: pa.StructArray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    nodes, owns, sizes = (items.field(c).to_numpy(zero_copy_only=False) for c in ("node", "own", "n"))
-    data = np.frombuffer(b"".join(items.field("sketch").to_pylist()), dtype="<u8").reshape(-1, width)
-    return nodes, owns, sizes.astype(np.float64), data
-
-
-def shingle_sets(docs: DataFrame, texts: DataFrame, words: int, text_col: str = "text") -> DataFrame:
-    """``(node, shingles array<long>)``: the distinct shingle hashes of ``texts`` (node, text_key), found in ``docs``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(len(batch)):
-                hashes = np.unique(shingle_hashes(batch.column(1)[at].as_py(), words)).view(np.int64)
-                lists = pa.ListArray.from_arrays(pa.array([0, len(hashes)], pa.int32()), pa.array(hashes, pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1), lists], names=["node", "shingles"])
-
-    text = F.col(text_col).cast("string")
-    source = docs.select(text_key(text).alias("text_key"), text.alias("text")).join(sized(texts), "text_key")
-    return durable(source.select("node", "text").mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"]))
-
-
-def verified(docs: DataFrame, values: DataFrame, pairs: DataFrame, words: int, least: float, text_col: str = "text") -> DataFrame:
-    """The ``pairs`` (src, dst) of values whose shingle-hash sets have exact Jaccard >= ``least``."""
-    pairs = durable(pairs.distinct())
-    wanted = pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-    sets = shingle_sets(docs, durable(values.select("node", "text_key").join(wanted, "node")), words, text_col)
-    both = pairs.join(sets.select(F.col("node").alias("src"), F.col("shingles").alias("one")), "src")
-    both = both.join(sets.select(F.col("node").alias("dst"), F.col("shingles").alias("two")), "dst")
-    shared = F.size(F.array_intersect("one", "two"))
-    return durable(both.filter(shared >= least * (F.size("one") + F.size("two") - shared) - 1e-9).select("src", "dst"))
-
-
-def near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, width: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, text_key, key, component_id)``: groups of texts with Jaccard >= ``least`` on shingles.
-
-    Fingerprints of 64 * ``width`` bits screen pairs with four standard deviations of slack; exact
-    Jaccard over the sets of shingle hashes decides. Clear pairs come first, as spanning forests, so
-    that a large group of near copies is joined before all remaining pairs are verified. Equal
-    shingle sets always group; ``key`` tells different sets apart.
-    """
-    marked = durable(sketches(docs, words, width, id_col, text_col))
-    values = marked.groupBy(F.col("key").alias("node")).agg(
-        F.min("doc_id").alias("least"), F.min("text_key").alias("text_key"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+def _with_component(marked: DataFrame, values: DataFrame, linked: DataFrame) -> DataFrame:
+    """Rows with the label and the smallest doc_id of their group; few fingerprints are linked at all."""
+    values = values.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
+    least = values.filter("component is not null").groupBy("component").agg(F.min("least").alias("component_id"))
+    named = values.join(least, "component", "left").select(
+        "fp", F.coalesce("component", "fp").alias("group"), F.coalesce("component_id", "least").alias("component_id")
     )
-    values = durable(values)
-    clear = verified(docs, values, candidates(values.withColumn("own", F.col("node")), least, width, True), words, least, text_col)
-    joined = durable(connected_components(clear))
-    owned = values.join(joined, "node", "left").withColumn("own", F.coalesce("component", "node"))
-    rest = verified(docs, values, candidates(durable(owned.select("node", "own", "n", "sketch")), least, width, False), words, least, text_col)
-    linked = durable(connected_components(clear.unionByName(rest)))
-    named = values.select(F.col("node").alias("key"), "least")
-    return _with_component(marked.select("doc_id", "text_key", "key"), named, linked, "key")
+    return marked.join(named, "fp").select(*marked.columns, "group", "component_id")
 
 
-def keep_one_each(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
+def keep_one_each(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, ...) without near-duplicates: one row of each group.
 
     That is the row with the smallest doc_id; where rows share that id, one of them. Rows without
-    doc_id stay only if their group has no doc_id at all, one row for each different shingle set.
+    doc_id stay only if their group has no doc_id at all, one row of each such group.
     """
-    groups = near_duplicates(docs, words, least)
+    groups = near_duplicate_fingerprints(docs, words, radius)
     texts = durable(
-        groups.groupBy("doc_id", "text_key").agg(F.first("key").alias("key"), F.first("component_id").alias("component_id"), F.count("*").alias("copies"))
+        groups.groupBy("doc_id", "text_key").agg(F.first("group").alias("group"), F.first("component_id").alias("component_id"), F.count("*").alias("copies"))
     )
+    own_id, own_key, again, drop = unused(docs, "id", "key", "again", "drop")
     kept = (
         texts.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("key")).alias("unnamed"))
+        .groupBy("doc_id", "group")
         .agg(F.min(F.struct("text_key", "copies")).alias("best"))
-        .select(F.col("doc_id").alias("__id"), F.col("best.text_key").alias("__key"), F.col("best.copies").alias("__copies"))
+        .select(F.col("doc_id").alias(own_id), F.col("best.text_key").alias(own_key), F.col("best.copies").alias("kept"))
     )
     marks = durable(
-        texts.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")), "left")
-        .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), (F.coalesce("__copies", F.lit(0)) > 1).alias("__again"), F.col("__copies").isNull().alias("__drop"))
-        .filter("__again or __drop")
+        texts.join(kept, F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col("text_key") == F.col(own_key)), "left")
+        .select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key), (F.coalesce("kept", F.lit(0)) > 1).alias(again), F.col("kept").isNull().alias(drop))
+        .filter(F.col(again) | F.col(drop))
     )
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (text_key(F.col("text").cast("string")) == F.col("__key"))
-    once = docs.join(sized(marks.select("__id", "__key")), same, "left_anti")
-    again = durable(marks.filter("__again").select("__id", "__key"))
-    if again.isEmpty():
+    same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (text_key(F.col("text").cast("string")) == F.col(own_key))
+    once = docs.join(sized(marks.select(own_id, own_key)), same, "left_anti")
+    repeats = durable(marks.filter(F.col(again)).select(own_id, own_key))
+    if repeats.isEmpty():
         return once
     # Rows that repeat both id and text: one of each is kept.
-    repeated = docs.join(sized(again), same, "left_semi")
-    first = repeated.withColumn("__key", text_key(F.col("text").cast("string"))).dropDuplicates(["doc_id", "__key"]).drop("__key")
+    repeated = docs.join(sized(repeats), same, "left_semi")
+    first = repeated.withColumn(own_key, text_key(F.col("text").cast("string"))).dropDuplicates(["doc_id", own_key]).drop(own_key)
     return once.unionByName(first)
