@@ -6,9 +6,12 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.schema import named
+
 # Space, tab, line feed, vertical tab, form feed and carriage return end a word. Fixed value.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -56,12 +59,20 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def sized(kept: DataFrame, limit: int = 200_000) -> DataFrame:
-    """``kept``, a durable frame of narrow rows, marked for broadcast if it has ``limit`` rows at most.
+def sized(kept: DataFrame, limit: int = 16 << 20) -> DataFrame:
+    """``kept``, a durable frame, marked for broadcast if its values take ``limit`` bytes at most.
 
     A larger frame is left as it is, for a join by shuffle.
     """
-    return F.broadcast(kept) if kept.count() <= limit else kept
+    texts = [f.name for f in kept.schema if f.dataType.simpleString() in ("string", "binary")]
+    others = [f.name for f in kept.schema if f.dataType.simpleString().startswith(("array", "map", "struct"))]
+    row = F.lit(8 * (len(kept.columns) + 1))
+    for name in texts:
+        row = row + F.coalesce(F.octet_length(named(name)), F.lit(0))
+    for name in others:
+        row = row + F.octet_length(F.coalesce(F.to_json(F.struct(named(name))), F.lit("")))
+    size = kept.agg(F.sum(row)).first()[0] or 0
+    return F.broadcast(kept) if size <= limit else kept
 
 
 def crc_part(doc_id: str | Column, n: int) -> Column:
@@ -85,3 +96,14 @@ def unused(df: DataFrame, *names: str) -> list[str]:
         taken.add(f"_{name}")
         out.append(f"_{name}")
     return out
+
+
+class Numbering(dict):
+    """Numbers words from 0 as they come; each is looked up once without leaving C."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))

@@ -102,3 +102,35 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> first_id THEN first_id END AS refers_to
 FROM g
 """
+
+
+# Words have no blank, so a phrase joined by blanks is spelled in one way.
+OP11 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+spelled AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+f1 AS (SELECT lang, x AS phrase, count(*) AS f FROM (SELECT lang, unnest(w) AS x FROM spelled) GROUP BY ALL),
+places AS (SELECT lang, w, unnest(range(1, len(w))) AS i FROM spelled),
+f2 AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS f FROM places GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS f
+       FROM places WHERE i + 2 <= len(w) GROUP BY ALL HAVING count(*) >= 10),
+cuts AS (
+  SELECT f2.lang, f2.w1 || ' ' || f2.w2 AS phrase, f2.f AS a, 1 AS k, x.f AS l, y.f AS r
+  FROM f2 JOIN f1 x ON x.lang = f2.lang AND x.phrase = f2.w1 JOIN f1 y ON y.lang = f2.lang AND y.phrase = f2.w2
+  WHERE NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = f2.lang AND 100 * f3.f >= 50 * f2.f AND f3.w1 = f2.w1 AND f3.w2 = f2.w2)
+    AND NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = f2.lang AND 100 * f3.f >= 50 * f2.f AND f3.w2 = f2.w1 AND f3.w3 = f2.w2)
+  UNION ALL
+  SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, f3.f, 1, x.f, y.f
+  FROM f3 JOIN f1 x ON x.lang = f3.lang AND x.phrase = f3.w1 JOIN f2 y ON y.lang = f3.lang AND y.w1 = f3.w2 AND y.w2 = f3.w3
+  UNION ALL
+  SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, f3.f, 2, x.f, y.f
+  FROM f3 JOIN f2 x ON x.lang = f3.lang AND x.w1 = f3.w1 AND x.w2 = f3.w2 JOIN f1 y ON y.lang = f3.lang AND y.phrase = f3.w3),
+valued AS (SELECT *, CAST((1000000 * CAST(a AS HUGEINT) * a) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS cut FROM valued),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest WHERE cut = 1)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM placed JOIN (SELECT lang, sum(f) AS n FROM f1 GROUP BY lang) USING (lang) WHERE rank <= 2000
+"""

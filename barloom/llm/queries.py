@@ -8,7 +8,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import crosspolytope, decontamination, langid, mixing, oracle, pii, simhash, tokens, toxicity, urls, warc
+from barloom.llm import (
+    collocations,
+    crosspolytope,
+    decontamination,
+    hasharrays,
+    kneserney,
+    langid,
+    mixing,
+    oracle,
+    periodicity,
+    pii,
+    scenarios,
+    simhash,
+    tokens,
+    toxicity,
+    urls,
+    warc,
+)
 from barloom.llm.common import crc_part, durable, read_table, shared_dir, sized
 
 
@@ -95,6 +112,42 @@ def op10_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_direct_address_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    folder = f"{shared_dir(spark)}/phrases-{uuid.uuid4().hex}"
+    return collocations.collocations(docs, folder, most_words=3, least=10, covered_percent=50, top=2000)
+
+
+def op12_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents under a bigram model of those that are not held out; its files go once they are scored."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(crc_part("doc_id", 7) == 2, F.lit(False))
+    folder = f"{shared_dir(spark)}/lm-{uuid.uuid4().hex}"
+    model = kneserney.fit(docs.filter(~held_out), folder, order=2)
+    found = durable(kneserney.score(docs, model))
+    hasharrays.remove(folder)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
+def op13_lcp_kruskal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of six words and four periods or more, in all documents, a tenth of them made to repeat themselves."""
+    docs = scenarios.with_repeats(read_table(spark, sf_dir, "documents"))
+    found = periodicity.periodic_runs(docs, least_length=6, least_exponent=4)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r["start"], r["period"])))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("best", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         query.__name__: query
@@ -109,9 +162,12 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_weak_supervision_pii,
             op9_delta_rollup,
             op10_sharded_warc,
+            op11_direct_address_tiling,
+            op12_kneser_ney,
+            op13_lcp_kruskal,
         )
     }
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op1_redirect_equivalence": oracle.OP1, "op6_cross_polytope": oracle.OP6, "op10_sharded_warc": oracle.OP10}
+    return {"op1_redirect_equivalence": oracle.OP1, "op6_cross_polytope": oracle.OP6, "op10_sharded_warc": oracle.OP10, "op11_direct_address_tiling": oracle.OP11}

@@ -1,0 +1,162 @@
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from barloom.llm import hasharrays, kneserney
+from barloom.llm.queries import op12_kneser_ney
+from tests.llm.conftest import SF, edge_rows
+
+
+def words_of(text):
+    table = {c: c + 32 for c in range(65, 91)}
+    return [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").translate(table)) if w] + ["</s>"]
+
+
+class Plain:
+    """The same model in dictionaries, from its definition."""
+
+    def __init__(self, texts, order):
+        self.order = order
+        self.raw = Counter(w for t in texts for w in words_of(t))
+        self.total = sum(self.raw.values())
+        high = Counter()
+        for t in texts:
+            row = ["<s>", *words_of(t)]
+            high.update(tuple(row[k : k + order]) for k in range(len(row) - order + 1))
+        self.counts = {order: dict(high)}
+        for n in range(order - 1, 0, -1):
+            below = Counter(g[1:] for g in self.counts[n + 1])
+            if n > 1:
+                below.update(Counter(tuple(["<s>", *words_of(t)][:n]) for t in texts if len(words_of(t)) + 1 >= n))
+            self.counts[n] = dict(below)
+        self.off, self.context = {}, {}
+        for n, counts in self.counts.items():
+            c = Counter(counts.values())
+            self.off[n] = kneserney.discounts(*(c[k] for k in (1, 2, 3, 4)))
+            sums = defaultdict(lambda: [0, 0.0])
+            for g, k in counts.items():
+                sums[g[:-1]][0] += k
+                sums[g[:-1]][1] += self.off[n][min(k, 3) - 1]
+            self.context[n] = dict(sums)
+
+    def p(self, history, word):
+        found = 1 / (len(self.raw) + 1)
+        for n in range(1, self.order + 1):
+            if len(history) < n - 1:
+                break
+            before = tuple(history[len(history) - n + 1 :])
+            if before not in self.context[n]:
+                continue
+            total, left = self.context[n][before]
+            k = self.counts[n].get((*before, word), 0)
+            taken = self.off[n][min(k, 3) - 1] if k else 0
+            found = (max(k - taken, 0) + left * found) / total
+        return found
+
+    def score(self, text):
+        row = ["<s>", *words_of(text)]
+        return sum(math.log10(self.p(row[:k], row[k])) for k in range(1, len(row)))
+
+    def base(self, text):
+        return sum(math.log10((self.raw[w] + 1) / (self.total + len(self.raw) + 1)) for w in words_of(text))
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_scores_equal_the_definition(spark, tmp_path, monkeypatch, order):
+    random = np.random.default_rng(order)
+    vocabulary = [f"w{k}" for k in range(40)]
+    texts = [" ".join(random.choice(vocabulary, random.integers(0, 30), p=np.arange(1, 41) / 820)) for _ in range(120)]
+    texts += ["W1 w2 W3", None, "", "w1 w1 w1 w1"]
+    others = ["w1 w2 never seen w3", "w39 w38 w39", "été w1", *texts[:20]]
+    model = kneserney.fit(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), str(tmp_path), order, shard_bytes=500)
+    assert model.bits > 2
+    plain = Plain(texts, order)
+    assert model.discounts == [plain.off[n] for n in range(1, order + 1)]
+    rows = kneserney.score(spark.createDataFrame(list(enumerate(others)), "doc_id long, text string"), model).collect()
+    for r in rows:
+        assert r.score == pytest.approx(plain.score(others[r.doc_id]), abs=1e-9)
+        assert r.base_score == pytest.approx(plain.base(others[r.doc_id]), abs=1e-9)
+        assert (r.n_tokens, r.n_known) == (len(words_of(others[r.doc_id])), sum(w in plain.raw for w in words_of(others[r.doc_id])))
+        assert r.train_tokens == plain.total
+    # Over all words, and the unknown one, the chances add up to one after any history.
+    for history in (["<s>"], ["<s>", "w1"], ["<s>", "w39", "w38", "w37"], ["<s>", "w5", "never"]):
+        assert sum(plain.p(history, w) for w in [*plain.raw, "<unk>"]) == pytest.approx(1)
+
+
+def test_query_equals_the_definition(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    plain = Plain([t for d, t in docs if zlib.crc32(str(d).encode()) % 7 != 2], 2)
+    got = {r.doc_id: r for r in op12_kneser_ney(spark, SF).collect()}
+    assert len(got) == len(docs)
+    for doc_id, text in docs:
+        r = got[doc_id]
+        assert r.held_out == (zlib.crc32(str(doc_id).encode()) % 7 == 2)
+        assert (r.n_tokens, r.train_tokens) == (len(words_of(text)), plain.total)
+        assert r.n_known == sum(w in plain.raw for w in words_of(text))
+        assert r.base_score == pytest.approx(plain.base(text), rel=1e-9)
+        assert r.score == pytest.approx(plain.score(text), rel=1e-9)
+    held = [r for r in got.values() if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 100])
+def test_blocks_and_pieces_give_the_same_tokens(monkeypatch, size):
+    texts = [b"a B c  d e f\n", None, b"", b"x" * 50 + b" y z", b" q"]
+    monkeypatch.setattr(kneserney.pieces, "__defaults__", (5,))
+    seen, histories = defaultdict(list), defaultdict(list)
+    for block in kneserney.tokens(texts, 2, size):
+        for k in np.flatnonzero(block.scored):
+            seen[int(block.text[k])].append(int(block.hashes[block.words[k]]))
+            before = block.words[max(k - 2, 0) : k][-min(int(block.before[k]), 2) :]
+            histories[int(block.text[k])].append([int(block.hashes[w]) if w >= 0 else None for w in before])
+    import xxhash
+
+    digest = lambda w: xxhash.xxh64_intdigest(w, 42)
+    for which, text in enumerate(texts):
+        want = [digest(w) for w in (text or b"").lower().split()] + [digest(b" ")]
+        assert seen[which] == want
+        line = [None, *want]
+        assert histories[which] == [line[max(k - 2, 0) : k] for k in range(1, len(line))]
+
+
+def test_edge_cases(spark, tmp_path, edge, empty):
+    model = kneserney.fit(edge, f"{tmp_path}/m", 3)
+    rows = kneserney.score(edge, model).collect()
+    assert len(rows) == len(edge_rows())
+    assert all(math.isfinite(r.score) and r.score < 0 and r.n_known == r.n_tokens for r in rows)
+    assert {r.n_tokens for r in rows if r.doc_id in (2, 3, 5)} == {1}
+    assert next(r.n_tokens for r in rows if r.doc_id == 4) == 200_001
+    assert kneserney.score(empty, model).collect() == []
+    none = kneserney.fit(empty, f"{tmp_path}/none", 2)
+    assert {(r.score, r.base_score, r.n_known) for r in kneserney.score(edge, none).collect()} == {(0.0, 0.0, 0)}
+
+
+def test_blocks_of_counted_keys_come_back():
+    random = np.random.default_rng(1)
+    keys = np.unique(random.integers(0, 2**63, (500, 2)).astype(np.uint64), axis=0)
+    counts = random.integers(0, 2**40, (len(keys), 3)).astype(np.uint64)
+    parts = [(n, *hasharrays.decode(data, n, 2, 3)) for _, n, data in hasharrays.cut(keys, counts, 3)]
+    assert sum(n for n, _, _ in parts) == len(keys)
+    again = hasharrays.summed(np.concatenate([k for _, k, _ in parts]), np.concatenate([c for _, _, c in parts]))
+    assert (again[0] == keys).all() and (again[1] == counts).all()
+
+
+def test_what_was_written_is_found(tmp_path):
+    random = np.random.default_rng(2)
+    hashes = np.unique(random.integers(0, 2**63, 1000).astype(np.uint64) * np.uint64(2))
+    shards = hasharrays.shard_of(hashes, 2)
+    for shard in (0, 1, 3):
+        own = hashes[shards == shard]
+        hasharrays.write_shard(f"file://{tmp_path}/t", shard, own, {"n": own & np.uint64(0xFFFF)})
+    wanted = np.concatenate([hashes[::-3], np.array([1, 2**64 - 1], np.uint64)])
+    _, place, values = hasharrays.Arrays(f"file://{tmp_path}/t", 2, ("n",)).find(wanted)
+    there = hasharrays.shard_of(wanted, 2) != 2
+    there[-2:] = False
+    assert ((place >= 0) == there).all()
+    assert (values["n"][there] == (wanted[there] & np.uint64(0xFFFF)).astype(np.int64)).all()
+    hasharrays.remove(f"file://{tmp_path}/t")
+    assert not (tmp_path / "t").exists()
