@@ -38,6 +38,11 @@ def in_year() -> WindowSpec:
     return Window.partitionBy("company_name", YEAR)
 
 
+def tie_order(bars: DataFrame) -> list[str]:
+    """The columns that put bars of one company and day in order, as far as ``bars`` has them."""
+    return [name for name in ("Open", "High", "Low", "Close", "Volume") if name in bars.columns]
+
+
 def by_date_in_year() -> WindowSpec:
     """Along a company's calendar year; starts afresh each January."""
     return in_year().orderBy("Date")

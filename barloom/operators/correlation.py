@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.functions.frames import dated
 from barloom.functions.prices import ratio
 from barloom.schema import as_list, named, numeric_columns
 
@@ -104,17 +105,20 @@ def pair_correlation(
 
     ``pairs`` is a list or a DataFrame ``(company_a, company_b)`` of any length,
     treated alike: pairs with a NULL name are dropped and repeated ones count
-    once. Each side is cut to the companies it needs, then the first side is
-    matched with the pairs and with the second side by company and date. Whether
-    the pairs are broadcast is left to Spark's own size check.
+    once. A company has one value for each date: where bars repeat a day, their
+    mean counts, taken in each task before anything is shuffled. The means of
+    the companies that the pairs name are matched with the pairs and with each
+    other by company and date. Whether the pairs are broadcast is left to
+    Spark's own size check.
     """
     if not isinstance(pairs, DataFrame):
         pairs = bars.sparkSession.createDataFrame(list(pairs), T.StructType.fromDDL(PAIRS_SCHEMA))
     pairs = pairs.select("company_a", "company_b").dropna().distinct()
 
     def side(company: str, name: str) -> DataFrame:
-        rows = bars.select(F.col("company_name").alias(company), "Date", F.col(value).alias(name))
-        return rows.join(pairs.select(company).distinct(), company, "left_semi")
+        rows = dated(bars).select(F.col("company_name").alias(company), "Date", value)
+        named_rows = rows.join(pairs.select(company).distinct(), company, "left_semi")
+        return named_rows.groupBy("Date", company).agg(F.avg(value).alias(name))
 
     return (
         side("company_a", "a")

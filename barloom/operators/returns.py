@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.calendar import in_previous_period
 from barloom.functions.prices import daily_return, ratio
 from barloom.operators.filters import select_bars
+from barloom.schema import named
+
+# Parts that the bars of a year are dealt to, by company and date.
+SLICES = 64
 
 
 def with_daily_return(bars: DataFrame) -> DataFrame:
@@ -33,16 +37,24 @@ def highest_daily_return(bars: DataFrame, *, per_year: bool = True) -> DataFrame
     """Bars whose return is the highest of their year, or of the table; ties
     are all kept.
 
-    The yearly maxima are one row per calendar year, which is what makes the
-    broadcast safe at any size of ``bars``.
+    The table is read once. Each task keeps the bars that no other of its year
+    and slice beats; the slices, taken from company and date, spread a year of
+    equal returns over many tasks. The highest of what is left, one row per
+    calendar year, is what makes the broadcast safe at any size of ``bars``.
     """
+    keys = ["Year"] if per_year else []
     returns = with_daily_return(bars)
-    if not per_year:
-        highest = returns.agg(F.max("Daily_Return")).scalar()
-        return returns.filter(F.col("Daily_Return") == highest)
-    returns = returns.withColumn("Year", F.year("Date"))
-    highest = returns.groupBy("Year").agg(F.max("Daily_Return").alias("Daily_Return"))
-    return returns.join(F.broadcast(highest), ["Year", "Daily_Return"], "left_semi")
+    if per_year:
+        returns = returns.withColumn("Year", F.year("Date"))
+    slices = F.pmod(F.xxhash64("company_name", "Date"), F.lit(SLICES))
+    best = Window.partitionBy(*keys, "_slice").orderBy(F.desc("Daily_Return"))
+    whole = returns.dropna(subset=[*keys, "Daily_Return"]).withColumn("_slice", slices)
+    left = whole.withColumn("_place", F.rank().over(best)).filter("_place = 1")
+    # The digest takes every column of the few rows left, so that both uses of them read one shuffle.
+    digest = F.bit_xor(F.xxhash64(*map(named, bars.columns)))
+    highest = left.groupBy(*keys).agg(F.max("Daily_Return").alias("Daily_Return"), digest.alias("_digest"))
+    same = F.broadcast(highest.filter(F.col("_digest").isNotNull()))
+    return left.join(same, [*keys, "Daily_Return"], "left_semi").select(returns.columns)
 
 
 def return_rate(bars: DataFrame, start: date | str, period: str) -> DataFrame:

@@ -36,6 +36,17 @@ def _bars(symbol: str) -> str:
   FROM lineitem GROUP BY 1, 2)"""
 
 
+_RAGGED_BARS = """bars AS (
+  SELECT CASE WHEN l_linenumber <> 7 THEN l_returnflag || '-' || l_linestatus END AS company_name,
+         CASE WHEN l_tax < 0.075 THEN CAST(l_shipdate AS DATE) END AS Date,
+         l_extendedprice AS Open,
+         l_extendedprice + l_quantity AS High,
+         l_extendedprice - l_extendedprice * l_discount AS Low,
+         l_extendedprice - l_extendedprice * l_tax AS Close,
+         CAST(l_quantity AS BIGINT) AS Volume
+  FROM lineitem)"""
+
+
 # event_id is unique, so it orders the trades of a day by itself.
 _EVENT_BARS = """bars AS (
   SELECT event_type AS company_name,
@@ -203,6 +214,18 @@ FROM (SELECT *, avg({price}) OVER ({_NEWEST}) AS m, stddev_samp({price}) OVER ({
       FROM ({_latest(start, n)}))"""
 
 
+# Bars of one day follow each other by their values.
+_TIES = ", ".join(f"{name} NULLS FIRST" for name in _NUMERIC)
+_RAGGED_FIRST_LAST = f"""WITH placed AS (
+  SELECT *, row_number() OVER ({_BY_DATE}, {_TIES}) AS n, count(*) OVER (PARTITION BY company_name) AS total
+  FROM bars WHERE company_name IS NOT NULL AND Date IS NOT NULL)
+SELECT {_BAR} FROM placed WHERE n <= 40
+UNION ALL
+SELECT {_BAR} FROM placed WHERE n > total - 40"""
+_RAGGED_BANDS = f"""SELECT * EXCLUDE (place) FROM (
+  SELECT *, row_number() OVER ({_NEWEST}, {_TIES}) AS place FROM ({_bollinger('2000-01-01', 20, 'Close')}))
+WHERE place <= 21 AND company_name IS NOT NULL"""
+
 _FRAME = f"({_IN_YEAR} ROWS BETWEEN 14 PRECEDING AND CURRENT ROW)"
 _RSI_RAW = f"""SELECT {_BAR}, 100 - 100 / (1 + gain / nullif(loss, 0)) AS RSI FROM (
   SELECT *,
@@ -275,6 +298,9 @@ _PAIR_CORRELATION = f"""SELECT x.company_name AS company_a, y.company_name AS co
 FROM bars x JOIN bars y ON x.Date = y.Date
 WHERE (x.company_name, y.company_name) IN ({_PAIRS}) GROUP BY 1, 2"""
 
+_RAGGED_PAIRS = f"""WITH days AS (SELECT company_name, Date, avg(Close) AS Close FROM bars GROUP BY ALL)
+{_PAIR_CORRELATION.replace('bars x', 'days x').replace('bars y', 'days y')}"""
+
 
 def _price_wide(companies: tuple[str, ...], price: str, where: str) -> str:
     columns = ", ".join(
@@ -362,6 +388,9 @@ WHERE x.company_name = '{CHOSEN[0]}' AND y.company_name = '{CHOSEN[1]}'""",
     "moving_average_rolling": _ROLLING,
     "rsi": _RSI,
     "rsi_signal": f"SELECT {_BAR}, {_r('RSI', 'RSI')}, {_signal('RSI', 70, 30)} FROM ({_RSI_RAW})",
+    "price_changes_by_span": _PRICE_CHANGES,
+    "moving_average_rolling_by_span": _ROLLING,
+    "bollinger_bands_by_day": _bollinger("2000-01-01", 20, "Close"),
     "bollinger_bands": _bollinger("2000-01-01", 20, "Close"),
     "bollinger_bands_open": _bollinger("1998-02-10", 50, "Open"),
     "money_flow_index": _MFI,
@@ -389,6 +418,8 @@ _OVER_SUPPLIERS: dict[str, str] = {
     "supplier_price_changes": _PRICE_CHANGES,
     "supplier_moving_average_asof": _moving_average("2000-01-01", 20, "Close"),
     "supplier_moving_average_rolling": _ROLLING,
+    "supplier_price_changes_by_span": _PRICE_CHANGES,
+    "supplier_moving_average_rolling_by_span": _ROLLING,
     "supplier_rsi": _RSI,
     "supplier_bollinger_bands": _bollinger("2000-01-01", 20, "Close"),
     "supplier_money_flow_index": _MFI,
@@ -398,6 +429,14 @@ _OVER_SUPPLIERS: dict[str, str] = {
     "supplier_sampling_period": _SAMPLING_PERIOD,
 }
 
+_OVER_RAGGED: dict[str, str] = {
+    "ragged_pair_correlation": _RAGGED_PAIRS,
+    "ragged_highest_daily_return": f"SELECT * FROM ({_highest('PARTITION BY year(Date)', True)}) WHERE Year IS NOT NULL",
+    "ragged_first_last_rows": _RAGGED_FIRST_LAST,
+    "ragged_moving_average_asof": f"SELECT * FROM ({_moving_average('2000-01-01', 20, 'Close')}) WHERE company_name IS NOT NULL",
+    "ragged_bollinger_bands": _RAGGED_BANDS,
+}
+
 _OVER_EVENTS: dict[str, str] = {
     "event_bars": f"SELECT {_BAR} FROM bars",
     "event_daily_return": _DAILY_RETURN,
@@ -431,5 +470,6 @@ def _with(bars: str, query: str) -> str:
 def all_sql() -> dict[str, str]:
     sql = {name: _with(_bars(_STATUS), query) for name, query in _OVER_STATUS.items()}
     sql |= {name: _with(_bars(_SUPPLIER), query) for name, query in _OVER_SUPPLIERS.items()}
+    sql |= {name: _with(_RAGGED_BARS, query) for name, query in _OVER_RAGGED.items()}
     sql |= {name: _with(_EVENT_BARS, query) for name, query in _OVER_EVENTS.items()}
     return sql | _OVER_TABLES

@@ -51,6 +51,21 @@ def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lineitem_bars(spark, sf_dir, F.col("l_suppkey").cast("string"))
 
 
+def ragged_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of ``lineitem`` a bar of its own: days repeat, some bars lack company or date."""
+    trades = table(spark, sf_dir, "lineitem")
+    price = F.col("l_extendedprice")
+    return trades.select(
+        F.when(F.col("l_linenumber") != 7, F.concat_ws("-", "l_returnflag", "l_linestatus")).alias("company_name"),
+        F.when(F.col("l_tax") < 0.075, F.to_date("l_shipdate")).alias("Date"),
+        price.alias("Open"),
+        (price + F.col("l_quantity")).alias("High"),
+        (price - price * F.col("l_discount")).alias("Low"),
+        (price - price * F.col("l_tax")).alias("Close"),
+        F.col("l_quantity").cast("bigint").alias("Volume"),
+    )
+
+
 def event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars_from_trades(
         table(spark, sf_dir, "events"),
@@ -138,8 +153,11 @@ STATUS_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     # indicators and levels
     "rsi": op.rsi,
     "rsi_signal": op.rsi_signal,
-    "bollinger_bands": lambda b: op.bollinger_bands(b, "2000-01-01", 20),
-    "bollinger_bands_open": lambda b: op.bollinger_bands(b, "1998-02-10", 50, "Open"),
+    "price_changes_by_span": lambda b: op.price_changes(b, "1997-01-01", "1998-12-31", span_days=90),
+    "moving_average_rolling_by_span": lambda b: op.moving_average_rolling(b, 5, span_days=365),
+    "bollinger_bands": lambda b: op.bollinger_bands(b, "2000-01-01", 20, unique_days=True),
+    "bollinger_bands_open": lambda b: op.bollinger_bands(b, "1998-02-10", 50, "Open", unique_days=True),
+    "bollinger_bands_by_day": lambda b: op.bollinger_bands(b, "2000-01-01", 20),
     "money_flow_index": op.money_flow_index,
     "mfi_signal": op.mfi_signal,
     "support_resistance": op.support_resistance,
@@ -166,7 +184,9 @@ SUPPLIER_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "supplier_moving_average_asof": lambda b: op.moving_average_asof(b, "2000-01-01", 20),
     "supplier_moving_average_rolling": lambda b: op.moving_average_rolling(b, 5),
     "supplier_rsi": op.rsi,
-    "supplier_bollinger_bands": lambda b: op.bollinger_bands(b, "2000-01-01", 20),
+    "supplier_price_changes_by_span": lambda b: op.price_changes(b, "1997-01-01", "1998-12-31", span_days=30),
+    "supplier_moving_average_rolling_by_span": lambda b: op.moving_average_rolling(b, 5, span_days=30),
+    "supplier_bollinger_bands": lambda b: op.bollinger_bands(b, "2000-01-01", 20, unique_days=True),
     "supplier_money_flow_index": op.money_flow_index,
     "supplier_support_resistance": op.support_resistance,
     "supplier_fibonacci_overlay": op.fibonacci_overlay,
@@ -174,6 +194,15 @@ SUPPLIER_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "supplier_sampling_period": op.sampling_period,
 }
 
+# Bars as they may come: repeated days, no company, no date.
+RAGGED_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "ragged_pair_correlation": lambda b: op.pair_correlation(b, combinations(STATUSES, 2)),
+    "ragged_highest_daily_return": op.highest_daily_return,
+    "ragged_first_last_rows": op.first_last_rows,
+    "ragged_moving_average_asof": lambda b: op.moving_average_asof(b, "2000-01-01", 20),
+    "ragged_bollinger_bands": lambda b: op.bollinger_bands(b, "2000-01-01", 20),
+}
+
 EVENT_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "event_bars": lambda b: b,
     "event_daily_return": op.with_daily_return,
@@ -195,6 +224,7 @@ TABLE_QUERIES: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
 def all_queries() -> dict[str, Query]:
     queries = {name: _over(status_bars, f) for name, f in STATUS_QUERIES.items()}
     queries |= {name: _over(supplier_bars, f) for name, f in SUPPLIER_QUERIES.items()}
+    queries |= {name: _over(ragged_bars, f) for name, f in RAGGED_QUERIES.items()}
     queries |= {name: _over(event_bars, f) for name, f in EVENT_QUERIES.items()}
     queries |= {name: _over(_table_source(t), f) for name, (t, f) in TABLE_QUERIES.items()}
     return queries

@@ -93,12 +93,12 @@ def test_bands_expand_back_from_the_newest_day(make):
         assert math.isclose(rows[n - 1].lower_band, mean - 2 * deviation)
 
 
-def test_bands_keep_all_rows_of_repeated_dates(make):
+def test_bands_count_all_rows_of_repeated_dates_and_return_one_more_than_dates(make):
     rows = [bar("A", d, float(i + 1)) for i, d in enumerate(sorted(run_of_days(n=4) * 2))]
     got = bollinger_bands(make(rows), "2020-02-01", 3).collect()
-    assert len(got) == 6 and {r["rank"] for r in got} == {1, 2, 3}
-    newest = [r for r in got if r["rank"] == 1]
-    assert len(newest) == 2 and all(r.moving_average == 7.5 for r in newest)  # ties share a frame
+    assert sorted((r["rank"], r.Close) for r in got) == [(1, 7.0), (1, 8.0), (2, 5.0), (2, 6.0)]
+    assert [r.moving_average for r in got if r["rank"] == 1] == [7.5, 7.5]  # ties share a frame
+    assert [r.moving_average for r in got if r["rank"] == 2] == [6.5, 6.5]
 
 
 def test_bars_without_company_or_date_get_no_answer(make):

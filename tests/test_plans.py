@@ -38,7 +38,8 @@ OPERATORS = {
     "price_changes": lambda b: op.price_changes(b, "2020-01-05", "2020-02-01"),
     "moving_average_rolling": lambda b: op.moving_average_rolling(b, 5),
     "bar_spacing": op.bar_spacing,
-    "bollinger_bands": lambda b: op.bollinger_bands(b, "2020-02-01", 5),
+    "bollinger_bands": lambda b: op.bollinger_bands(b, "2020-02-01", 5, unique_days=True),
+    "first_last_rows": op.first_last_rows,
     "average_prices": lambda b: op.average_prices(b, "Week"),
     "average_return": lambda b: op.average_return(b, "Month"),
     "return_rate": lambda b: op.return_rate(b, "2020-02-01", "Month"),
