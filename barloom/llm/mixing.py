@@ -20,10 +20,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.common import WORD, durable, sized, word_count
+from barloom.schema import named as column
 
 SEED = 42
-# Cells of each of the two levels of the seeded order.
-CELLS = 4096
+# The seeded order is one of digits of so many bits, two from each of so many hashes.
+DIGIT, HASHES = 12, 3
+CELLS = 1 << DIGIT
 
 
 def ranked_sources(sizes: DataFrame) -> DataFrame:
@@ -73,40 +75,59 @@ def water_fill(sources: DataFrame, budget: float, max_epochs: float) -> DataFram
     return sources.withColumn("target", F.least(cap, F.col("weight") * F.lit(level)))
 
 
-def _placed(seed: int, id_col: str) -> dict[str, Column]:
-    """Words and place in the seeded order of every row."""
-    order = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col("text")), F.lit(CELLS * CELLS))
-    return {
-        "__size": word_count("text"),
-        "__cell": F.floor(order / CELLS).cast("int"),
-        "__inner": F.pmod(order, F.lit(CELLS)).cast("int"),
-    }
+def _order(seed: int, id_col: str) -> Column:
+    """Place of every row in the seeded order: numbers below ``CELLS``, the first ones of more weight.
+
+    Hashes of id and text come first, so that the place follows from the row; a number of the row in
+    its partition only parts rows that are equal in both.
+    """
+    hashes = [F.xxhash64(F.lit(seed + k), F.col(id_col), F.col("text")) for k in range(2)]
+    hashes.append(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()))
+    digits = [F.shiftrightunsigned(h, 64 - DIGIT * (k + 1)) % CELLS for h in hashes for k in range(2)]
+    return F.array(*(d.cast("int") for d in digits))
 
 
 def _plan(rows: DataFrame, weights: tuple[float, ...], share: float, max_epochs: float) -> DataFrame:
     """A row for each source: words, target, whole repetitions, and where the fractional one ends.
 
-    Of the hash cells before ``__edge`` and the inner cells before ``__inner_edge`` in it, documents
-    get a fractional repetition in full; those in the last inner cell get the share ``__part``.
+    ``rows`` has (source, size, order). Documents before ``__edge`` in the seeded order get a
+    fractional repetition in full, those at it the share ``__part``. The edge is found digit by digit:
+    the words of all cells of a digit are added up, and the next digit only looks at the rows of the
+    cell in which the target is met, until that is one row or no digit is left.
     """
     targets = durable(_targets(rows, weights, share, max_epochs))
     named = _by_source(rows, targets)
-    cells = _edge(named.groupBy("source", "__cell").agg(F.sum("__size").alias("n"), F.first("__extra").alias("goal")), "__cell")
-    reached = "n > 0 and done < goal and done + n >= goal"
-    edge = durable(cells.filter(reached).select(F.col("source").alias("__source"), F.col("__cell").alias("__edge"), "done"))
-    inner = (
-        _by_source(named, edge)
-        .filter("__cell = __edge")
-        .groupBy("source", "__inner")
-        .agg(F.sum("__size").alias("n"), F.first(F.col("__extra") - F.col("done")).alias("goal"))
-    )
-    part = ((F.col("goal") - F.col("done")) / F.col("n")).alias("__part")
-    last = durable(_edge(inner, "__inner").filter(reached).select(F.col("source").alias("source"), F.col("__inner").alias("__inner_edge"), part))
-    both = last.join(edge.drop("done"), last["source"].eqNullSafe(edge["__source"])).drop("source")
-    ends = both.withColumnRenamed("__source", "source")
+    edges = targets.select("__source", F.array().cast("array<int>").alias("__edge"), F.col("__extra").alias("goal"))
+    ends = None
+    for digit in range(2 * HASHES):
+        inside = _by_source(named.select("source", "size", "order"), edges).filter(F.slice("order", 1, digit) == F.col("__edge"))
+        cells = (
+            inside.withColumn("cell", F.col("order")[digit])
+            .groupBy("source", "cell")
+            .agg(F.sum("size").alias("n"), F.count_if(F.col("size") > 0).alias("rows"), F.first("goal").alias("goal"), F.first("__edge").alias("__edge"))
+        )
+        before = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        met = (
+            cells.withColumn("done", F.coalesce(F.sum("n").over(before), F.lit(0)))
+            .filter("n > 0 and done < goal and done + n >= goal")
+            .select(
+                F.col("source").alias("__source"),
+                F.concat("__edge", F.array("cell")).alias("__edge"),
+                (F.col("goal") - F.col("done")).alias("goal"),
+                ((F.col("goal") - F.col("done")) / F.col("n")).alias("__part"),
+                "rows",
+            )
+        )
+        met = durable(met)
+        ended = met if digit == 2 * HASHES - 1 else met.filter("rows = 1")
+        ended = ended.select(F.col("__source").alias("source"), "__edge", "__part")
+        ends = ended if ends is None else ends.unionByName(ended)
+        edges = met.filter("rows > 1").select("__source", "__edge", "goal")
+        if edges.isEmpty():
+            break
     return durable(
         targets.join(ends, targets["__source"].eqNullSafe(ends["source"]), "left").select(
-            "__source", "__source_size", "__target", "__whole", "__edge", "__inner_edge", "__part"
+            "__source", "__source_size", "__target", "__whole", "__edge", "__part"
         )
     )
 
@@ -117,13 +138,9 @@ def _by_source(rows: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def _taken() -> Column:
-    part = (
-        F.when(F.col("__edge").isNull(), 0.0)
-        .when(F.col("__cell") != F.col("__edge"), (F.col("__cell") < F.col("__edge")).cast("double"))
-        .when(F.col("__inner") != F.col("__inner_edge"), (F.col("__inner") < F.col("__inner_edge")).cast("double"))
-        .otherwise(F.col("__part"))
-    )
-    return (F.col("__size") * F.col("__whole") + F.round(F.col("__size") * part)).cast("long")
+    place = F.slice("order", F.lit(1), F.size("__edge"))
+    part = F.when(place < F.col("__edge"), 1.0).when(place == F.col("__edge"), F.col("__part")).otherwise(0.0)
+    return (F.col("size") * F.col("__whole") + F.round(F.col("size") * F.coalesce(part, F.lit(0.0)))).cast("long")
 
 
 def mix(
@@ -138,20 +155,15 @@ def mix(
 
     Sources in order weigh ``weights``, repeating, and share ``share`` times all words.
     """
-    placed = docs.withColumns(_placed(seed, id_col))
-    rows = durable(placed.select(F.col(id_col).alias("doc_id"), "source", "__size", "__cell", "__inner"))
+    rows = durable(docs.select(F.col(id_col).alias("doc_id"), "source", word_count("text").alias("size"), _order(seed, id_col).alias("order")))
     return _by_source(rows, _plan(rows, weights, share, max_epochs)).select(
-        "doc_id",
-        F.col("__size").alias("size"),
-        F.col("__source_size").alias("source_size"),
-        F.col("__target").alias("target"),
-        _taken().alias("taken"),
+        "doc_id", "size", F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), _taken().alias("taken")
     )
 
 
 def _targets(rows: DataFrame, weights: tuple[float, ...], share: float, max_epochs: float) -> DataFrame:
     """Per source its words, target, whole repetitions and the words of the fractional one."""
-    sources = durable(ranked_sources(rows.groupBy("source").agg(F.sum("__size").alias("size"))))
+    sources = durable(ranked_sources(rows.groupBy("source").agg(F.sum("size").alias("size"))))
     total = sources.agg(F.sum("size")).first()[0] or 0
     weight = F.element_at(F.array(*map(F.lit, map(float, weights))), (F.col("place") % len(weights) + 1).cast("int"))
     filled = water_fill(sources.withColumn("weight", weight), share * total, max_epochs)
@@ -165,12 +177,6 @@ def _targets(rows: DataFrame, weights: tuple[float, ...], share: float, max_epoc
     )
 
 
-def _edge(cells: DataFrame, order: str) -> DataFrame:
-    """Cells (source, order, n) with ``done``, the words of the source's cells before."""
-    before = Window.partitionBy("source").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return cells.withColumn("done", F.coalesce(F.sum("n").over(before), F.lit(0)))
-
-
 def mixed_rows(
     docs: DataFrame,
     weights: tuple[float, ...] = (5.0, 2.0, 1.0),
@@ -185,19 +191,21 @@ def mixed_rows(
     are left out. A column ``repetition`` that ``docs`` has is replaced. Texts are not shuffled: a
     document only needs the row of its source.
     """
-    placed = docs.withColumns(_placed(seed, id_col))
-    plan = _plan(durable(placed.select("source", "__size", "__cell", "__inner")), weights, share, max_epochs)
-    times = F.ceil(F.col("__taken") / F.col("__size")).cast("int")
-    left = F.col("__taken") - (F.col("repetition") - 1) * F.col("__size")
-    text = F.when(left >= F.col("__size"), F.col("text")).otherwise(leading_words(F.col("text"), left.cast("int")))
     columns = [c for c in docs.columns if c.lower() != "repetition"]
+    # All columns travel in one, so that their names do not meet those used here.
+    placed = docs.select(
+        F.struct(*map(column, columns)).alias("row"), "source", F.col("text").cast("string"), word_count("text").alias("size"), _order(seed, id_col).alias("order")
+    )
+    plan = _plan(durable(placed.select("source", "size", "order")), weights, share, max_epochs)
+    times = F.ceil(F.col("taken") / F.col("size")).cast("int")
+    left = F.col("taken") - (F.col("repetition") - 1) * F.col("size")
+    text = F.when(left >= F.col("size"), F.col("text")).otherwise(leading_words(F.col("text"), left.cast("int")))
     return (
-        _by_source(placed.select(*columns, "__size", "__cell", "__inner"), plan)
-        .withColumn("__taken", _taken())
-        .filter("__taken > 0")
+        _by_source(placed, plan)
+        .withColumn("taken", _taken())
+        .filter("taken > 0")
         .withColumn("repetition", F.explode(F.sequence(F.lit(1), times)))
-        .withColumn("text", text)
-        .select(*columns, "repetition")
+        .select(*((text if c == "text" else F.col("row")[c]).alias(c) for c in columns), "repetition")
     )
 
 

@@ -78,3 +78,25 @@ def test_repetitions_hold_the_words_taken(spark):
         out[r.doc_id].append((r.repetition, r.text))
     assert {d: sum(words(t) for _, t in v) for d, v in out.items()} == {d: t for d, t in plan.items() if t}
     assert all(sorted(n for n, _ in v) == list(range(1, len(v) + 1)) for v in out.values())
+
+
+@pytest.mark.parametrize("share, text", [(1.4, "word"), (1.5, "word"), (0.3337, "three words here"), (1.999, "word")])
+def test_equal_rows_meet_the_target(spark, share, text):
+    rows = [(None, text, "a")] * 1000 + [(7, text, "b")] * 300 + [(k, "x y", "b") for k in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = mixing.mix(docs, weights=(1.0,), share=share).collect()
+    for size in {r.source_size for r in got}:
+        own = [r for r in got if r.source_size == size]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 1
+        assert all(r.taken <= 2 * r.size for r in own)
+    again = mixing.mix(docs.repartition(3, "source", "text"), weights=(1.0,), share=share).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    mixed = mixing.mixed_rows(docs, weights=(1.0,), share=share).collect()
+    assert sum(words(r.text) for r in mixed) == sum(r.taken for r in got)
+
+
+def test_further_columns_come_back_whatever_their_names(spark):
+    names = ["__size", "size", "order", "taken", "row", "__edge", "__source", "__part", "goal", "_text"]
+    docs = spark.createDataFrame([(k, "a b", "s", *names) for k in range(5)], "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    got = mixing.mixed_rows(docs).collect()
+    assert got and all([r[n] for n in names] == names for r in got)
