@@ -12,13 +12,15 @@ Document frequencies are counted over all training rows. Centroids are fitted on
 
 Edge cases: a NULL text or one without a letter is ``und`` with score 0 and rejected; so is every
 text if there is nothing to learn from. Rows without language or doc_id are predicted, not learned
-from. Ties go to the language that comes first in code-point order. Repeated rows are rows like any
+from; ids may be of any type, and a sampled id counts with one of its texts. A very long text is
+hashed whole, ``BLOCK`` characters at a time. Ties go to the language that comes first in code-point order. Repeated rows are rows like any
 other, extra columns are ignored, an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import functools
+import math
 import sys
 from collections.abc import Iterator
 
@@ -151,28 +153,38 @@ def fit(docs: DataFrame, clusters: int = 4, sample: int = 1000, quantile: float
     """Centroids from ``docs`` (doc_id, text, lang), all of them rows to learn from."""
     rows = docs.filter("lang is not null and doc_id is not null and text is not null")
     idf = inverse_frequencies(rows)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("langid"), "doc_id"), "doc_id")
-    # Ids first: the rank then moves no text.
-    chosen = (
-        rows.select("lang", "doc_id").withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= sample).select("lang", "doc_id").distinct()
+    place = F.xxhash64(F.lit("langid"), "doc_id")
+    # Few ids of a language reach the rank: those whose place lies in the share that holds enough of them.
+    ids = rows.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids"))
+    share = (sample + 10 * math.sqrt(sample) + 50) * 1.2 / F.col("ids")
+    below = F.when(share < 1, -(2.0**63) + share * 2.0**64).otherwise(2.0**63).alias("below")
+    bounds = sized(durable(ids.select(F.col("lang").alias("bound_lang"), below)))
+    named_ids = rows.select("lang", "doc_id", place.alias("place"))
+    near = named_ids.join(bounds, F.col("lang") == F.col("bound_lang")).filter(F.col("place") <= F.col("below"))
+    order = Window.partitionBy("lang").orderBy("place", "doc_id")
+    chosen = near.select("lang", "doc_id", "place").distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample)
+    # One text of each id: rows that repeat an id are not gathered.
+    picked = (
+        rows.join(sized(durable(chosen.select("lang", "doc_id"))), ["lang", "doc_id"])
+        .groupBy("lang", "doc_id")
+        .agg(F.min(F.col("text").cast("string")).alias("text"))
+        .select("lang", place.alias("place"), "text")
     )
-    picked = rows.join(sized(durable(chosen)), ["lang", "doc_id"])
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, places, values, ids = [], [], [], []
-            for lang, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            langs, places, values, order = [], [], [], []
+            for lang, at_place, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 counts = gram_counts(text)
                 if counts is not None:
                     at, value = weighted(counts, idf)
-                    langs.append(lang), ids.append(doc_id), places.append(at.astype(np.int32)), values.append(value.astype(np.float32))
-            yield pa.RecordBatch.from_pydict({"lang": langs, "doc_id": ids, "places": places, "values": values}, schema=shape)
+                    langs.append(lang), order.append(at_place), places.append(at.astype(np.int32)), values.append(value.astype(np.float32))
+            yield pa.RecordBatch.from_pydict({"lang": langs, "place": order, "places": places, "values": values}, schema=shape)
 
-    shape = pa.schema([("lang", pa.string()), ("doc_id", pa.int64()), ("places", pa.list_(pa.int32())), ("values", pa.list_(pa.float32()))])
+    shape = pa.schema([("lang", pa.string()), ("place", pa.int64()), ("places", pa.list_(pa.int32())), ("values", pa.list_(pa.float32()))])
 
     def means(group: pd.DataFrame) -> pd.DataFrame:
-        # Rows that repeat an id could exceed the bound: the first ones in a fixed order stay.
-        group = group.sort_values(["doc_id"], kind="stable").head(sample)
+        group = group.sort_values(["place"], kind="stable")
         x = np.zeros((len(group), BUCKETS), np.float32)
         for k, (at, value) in enumerate(zip(group["places"], group["values"], strict=True)):
             x[k, at] = value
@@ -183,9 +195,7 @@ def fit(docs: DataFrame, clusters: int = 4, sample: int = 1000, quantile: float
         rows = [(group["lang"].iloc[0], k, floor, c.astype(np.float32)) for k, c in enumerate(centroids)]
         return pd.DataFrame(rows, columns=["lang", "cluster", "floor", "centroid"])
 
-    sparse = picked.select("lang", F.col("doc_id").cast("long"), "text").mapInArrow(
-        vectors, "lang string, doc_id long, places array<int>, values array<float>"
-    )
+    sparse = picked.mapInArrow(vectors, "lang string, place long, places array<int>, values array<float>")
     table = durable(sparse.groupBy("lang").applyInPandas(means, "lang string, cluster int, floor double, centroid array<float>"))
     languages = table.select("lang").distinct().count()
     if languages > MAX_LANGUAGES:
