@@ -132,7 +132,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, evidence: float
     marked = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = marked.orderBy(F.xxhash64(F.lit("toxic"), "doc_id"), "doc_id").limit(sample)
     # At most `sample` ids, hence fit to broadcast.
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
+    found = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    # One text of each id: rows that repeat an id are not gathered.
+    rows = found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
