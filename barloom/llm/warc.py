@@ -191,7 +191,7 @@ def write(
     rows = (
         bodies.join(side, same)
         .select(*plan.columns, F.when(~F.col("revisit"), F.col("html")).cast("binary").alias("html"))
-        .repartition(shards, "shard")
+        .repartitionById(shards, F.col("shard"))
         .sortWithinPartitions("shard", "url", "page_id", "digest")
     )
 
