@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import durable, sized
+from barloom.llm.common import durable, sized, unused
 
 # Words of a segment, and of the stretch around seeds that is aligned with it.
 SEGMENT, MARGIN, PASSAGE = 64, 72, 256
@@ -207,7 +207,7 @@ def passages(docs: DataFrame, seeds: DataFrame, n: int) -> DataFrame:
                 grams = words.grams(n)
                 hits = np.flatnonzero(passes(grams, *shared.value))
                 for low, high in _stretches(hits, n, len(words)):
-                    inside = hits[(hits >= low) & (hits + n <= high)]
+                    inside = hits[np.searchsorted(hits, low) : np.searchsorted(hits, high - n, "right")]
                     rows.append(row), starts.append(low), texts.append(words.text(low, high))
                     codes.append(np.unique(grams[inside]).view(np.int64))
             part = batch.select([0, 1]).take(pa.array(rows, pa.int64()))
@@ -227,15 +227,13 @@ def _stretches(hits: np.ndarray, n: int, length: int) -> Iterator[tuple[int, int
     if not len(hits):
         return
     step = PASSAGE - 2 * MARGIN - n
-    for group in np.split(hits, np.flatnonzero(np.diff(hits) > step) + 1):
-        at = int(group[0])
-        while True:
-            inside = group[(group >= at) & (group < at + step)]
-            yield max(0, at - MARGIN), min(length, int(inside[-1]) + n + MARGIN)
-            later = group[group >= at + step]
-            if not len(later):
-                break
-            at = int(later[0])
+    first = 0
+    while first < len(hits):
+        at = int(hits[first])
+        # Hits are in order: each stretch begins where the one before has ended.
+        end = int(np.searchsorted(hits, at + step))
+        yield max(0, at - MARGIN), min(length, int(hits[end - 1]) + n + MARGIN)
+        first = end
 
 
 def align(segment: np.ndarray, passage: np.ndarray) -> np.ndarray:
@@ -318,6 +316,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 4, least: floa
 def clean(docs: DataFrame, benchmark: DataFrame, n: int = 4, least: float = 0.6) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item of the benchmark."""
     found = contamination(docs, benchmark, n, least)
-    bad = sized(durable(found.select(F.col("doc_id").alias("__bad_id"), F.col("text_key").alias("__bad_key")).distinct()))
-    same = F.col("doc_id").eqNullSafe(F.col("__bad_id")) & (F.md5(F.col("text").cast("string")) == F.col("__bad_key"))
+    bad_id, bad_key = unused(docs, "bad_id", "bad_key")
+    bad = sized(durable(found.select(F.col("doc_id").alias(bad_id), F.col("text_key").alias(bad_key)).distinct()))
+    same = F.col("doc_id").eqNullSafe(F.col(bad_id)) & (F.md5(F.col("text").cast("string")) == F.col(bad_key))
     return docs.join(bad, same, "left_anti")
