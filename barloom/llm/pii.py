@@ -11,8 +11,9 @@ The text is scanned once. Votes and features take few values, so all training wo
 their combinations, a few thousand rows at most, whatever the corpus; only its sums, a row for each
 kind, and the finished log odds come to the driver.
 
-Spans are code points, end exclusive. Edge cases: a NULL text counts as empty and has no span;
-overlapping spans of different kinds are all reported, and redacted as one. Rows with NULL or
+Spans are code points, end exclusive. Edge cases: a NULL text counts as empty and has no span; a very
+long one is searched whole, in time about in proportion to its spans. Overlapping spans of different kinds are all
+reported, and redacted as one. Rows with NULL or
 repeated doc_id are rows like any other; extra columns are ignored, or carried by ``redacted``; an
 empty table gives an empty result, and without loose spans there is nothing to train on or to add.
 """
@@ -20,6 +21,7 @@ empty table gives an empty result, and without loose spans there is nothing to t
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -62,23 +64,61 @@ VOTES = ("form", "gazetteer", "context", "edges", "layout")
 # Code points of context before and after a span.
 WINDOW = 24
 SPAN = "struct<start:int,end:int,value:string>"
+# Items of a chunk of running sums, code points of a block of text.
+CHUNK, BLOCK = 128, 1024
+# Beyond every place.
+BEYOND = (1 << 31) - 1
 
 
 def matches(text: Column, pattern: str, hint: str) -> Column:
-    """All matches as (start, end, value); ``hint`` is a cheap pattern any text with one contains."""
+    """All matches as (gap, value): length of the text between the one before and this one, and the
+    match; ``hint`` is a cheap pattern any text with one contains."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
+    pairs = F.zip_with(
+        F.slice(between, F.lit(1), F.size(found)), found, lambda g, f: F.struct(F.length(g).alias("gap"), f.alias("value"))
+    )
+    return F.when(text.rlike(hint), pairs).otherwise(F.array().cast("array<struct<gap:int,value:string>>"))
+
+
+def running(items: str, term: str, zero: int, join: str) -> str:
+    """SQL: for each of the column ``items`` the terms of those before it, joined.
+
+    ``term`` is SQL of an item ``x``, ``join`` of terms ``{a}`` and ``{b}``. In chunks, first their totals and then
+    inside: an array grows by copying, and so none grows long.
+    """
+
+    def before(terms: str, start: str) -> str:
+        state = f"struct({start} as at, cast(array() as array<int>) as out)"
+        grown = f"struct({join.format(a='s.at', b='b')} as at, concat(s.out, array(s.at)) as out)"
+        return f"aggregate({terms}, {state}, (s, b) -> {grown}, s -> s.out)"
+
+    chunks = f"transform(sequence(0, cast(floor(greatest(size({items}) - 1, 0) / {CHUNK}) as int)), c -> transform(slice({items}, c * {CHUNK} + 1, {CHUNK}), x -> {term}))"
+    totals = f"transform({chunks}, chunk -> aggregate(chunk, {zero}, (a, b) -> {join.format(a='a', b='b')}))"
+    return f"flatten(zip_with({chunks}, {before(totals, str(zero))}, (chunk, start) -> {before('chunk', 'start')}))"
+
+
+# How running terms are joined.
+SUM, MOST, LEAST = "{a} + {b}", "greatest({a}, {b})", "least({a}, {b})"
+
 
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["found"])
-        span = F.struct(start.alias("start"), end.alias("end"), pair["found"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+def placed(pairs: str) -> Column:
+    """Matches (gap, value) of a column as (start, end, value)."""
+    before = running(pairs, "x.gap + length(x.value)", 0, SUM)
+    span = "(p, at) -> struct(at + p.gap as start, at + p.gap + length(p.value) as end, p.value as value)"
+    return F.expr(f"if(size({pairs}) > 0, zip_with({pairs}, {before}, {span}), cast(array() as array<{SPAN}>))")
 
-    pairs = F.zip_with(F.slice(between, F.lit(1), F.size(found)), found, lambda g, f: F.struct(g.alias("gap"), f.alias("found")))
-    none = F.array().cast(f"array<{SPAN}>")
-    spans = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda s: s["spans"])
-    return F.when(text.rlike(hint), spans).otherwise(none)
+
+def blocks(text: Column) -> Column:
+    """``text`` in blocks of ``BLOCK`` code points: a place in it is then found without counting from the start."""
+    return F.when(F.length(text) <= BLOCK, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)))
+
+
+def piece(text_blocks: Column, low: Column, high: Column) -> Column:
+    """The text between two places."""
+    first = F.floor(low / BLOCK).cast("int")
+    last = F.floor((F.greatest(high, low + 1) - 1) / BLOCK).cast("int")
+    return F.substring(F.array_join(F.slice(text_blocks, first + 1, last - first + 1), ""), low - first * BLOCK + 1, high - low)
 
 
 def digits(value: Column) -> Column:
@@ -112,12 +152,12 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, 1).when(no, -1).otherwise(0)
 
 
-def _judged(kind: str, text: Column, span: Column, strict: bool) -> Column:
+def _judged(kind: str, text_blocks: Column, span: Column, strict: bool) -> Column:
     """A proposal with its votes and features."""
     start, end, value = span["start"], span["end"], span["value"]
     low = F.greatest(start - WINDOW, F.lit(0))
-    before = F.substring(text, low + 1, start - low)
-    after = F.substring(text, end + 1, F.lit(1))
+    before = piece(text_blocks, low, start)
+    after = piece(text_blocks, end, end + 1)
     n = F.length(digits(value))
     whole = ~before.rlike("[A-Za-z0-9_]$") & ~after.rlike("^[A-Za-z0-9_]")
     layout = {
@@ -150,39 +190,55 @@ FEATURES = ("digits", "length", "separators", "left", "right", "gazetteer", "con
 
 
 def with_proposals(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``__text``, never NULL, and ``__proposals``: all strict and loose spans, judged,
-    strict ones first within a kind.
+    """``docs`` with ``__text``, never NULL, ``__blocks`` of it, and ``__proposals``: all strict and loose
+    spans, judged, strict ones first within a kind.
 
     In steps, so that nothing that is used twice, by every loose span say, is matched twice.
     """
     hints = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][0-9 -]{11}", "phone": r"\+[0-9]"}
     loose_hints = {"email": r"(?i)dot", "ip": r"(?i)[0-9]\x20?(?:[\[(]\.|dot)", "phone": r"[0-9]{3}[.\x20-][0-9]{4}"}
     text = F.col("__text")
-
-    def kept(kind: str) -> Column:
-        return F.filter(f"__{kind}", lambda s: valid(kind, s["value"]))
+    found = {f"__{kind}": matches(text, STRICT[kind], hints[kind]) for kind in KINDS}
+    found |= {f"__more_{kind}": matches(text, LOOSE[kind], loose_hints[kind]) for kind in LOOSE}
+    any_found = reduce(lambda a, b: a | b, (F.size(name) > 0 for name in found))
 
     def loose(kind: str) -> Column:
         if kind == "card":
             return F.filter("__card", lambda s: F.length(digits(s["value"])).between(13, 19) & ~valid(kind, s["value"]))
-        return F.filter(
-            matches(text, LOOSE[kind], loose_hints[kind]),
-            lambda s: ~F.exists(f"__strict_{kind}", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-        )
+        return F.when((F.size(f"__more_{kind}") > 0) & (F.size(f"__strict_{kind}") > 0), apart(f"__mixed_{kind}")).otherwise(F.col(f"__more_{kind}"))
 
     def judge(kind: str, spans: str, strict: bool) -> Column:
-        return F.transform(spans, lambda s: _judged(kind, text, s, strict))
+        return F.transform(spans, lambda s: _judged(kind, F.col("__blocks"), s, strict))
 
     judged = [judge(kind, f"__{how}_{kind}", how == "strict") for kind in KINDS for how in ("strict", "loose")]
-    helpers = [f"__{kind}" for kind in KINDS] + [f"__{how}_{kind}" for kind in KINDS for how in ("strict", "loose")]
-    return (
-        docs.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-        .withColumns({f"__{kind}": matches(text, STRICT[kind], hints[kind]) for kind in KINDS})
-        .withColumns({f"__strict_{kind}": kept(kind) for kind in KINDS})
-        .withColumns({f"__loose_{kind}": loose(kind) for kind in KINDS})
-        .withColumn("__proposals", F.concat(*judged))
-        .drop(*helpers)
-    )
+    steps = [
+        {"__text": F.coalesce(F.col("text").cast("string"), F.lit(""))},
+        found,
+        {name: placed(name) for name in found} | {"__blocks": F.when(any_found, blocks(text)).otherwise(F.array(F.lit("")))},
+        {f"__strict_{kind}": F.filter(f"__{kind}", lambda s: valid(kind, s["value"])) for kind in KINDS},
+        {f"__mixed_{kind}": mixed(f"__strict_{kind}", f"__more_{kind}") for kind in LOOSE},
+        {f"__loose_{kind}": loose(kind) for kind in KINDS},
+        {"__proposals": F.concat(*judged)},
+    ]
+    out = reduce(DataFrame.withColumns, steps, docs)
+    return out.select(*docs.columns, "__text", "__blocks", "__proposals")
+
+
+def mixed(strict: str, loose: str) -> Column:
+    """Strict and loose spans of two columns in one array, in order of their starts."""
+    sides = (f"transform({name}, x -> struct(x.start as start, {flag} as loose, x.end as end, x.value as value))" for name, flag in ((strict, "false"), (loose, "true")))
+    return F.expr(f"array_sort(concat({', '.join(sides)}))")
+
+
+def apart(spans: str) -> Column:
+    """The loose spans of the column ``spans``, made by ``mixed``, that no strict one overlaps: those
+    before it end and those after it begin outside."""
+    end_before = running(spans, "if(x.loose, 0, x.end)", 0, MOST)
+    start_after = running(f"reverse({spans})", f"if(x.loose, {BEYOND}, x.start)", BEYOND, LEAST)
+    sides = f"zip_with({end_before}, reverse({start_after}), (a, b) -> struct(a as before, b as after))"
+    both = f"zip_with({spans}, {sides}, (s, x) -> struct(s as s, x as x))"
+    alone = f"filter({both}, p -> p.s.loose and p.x.before <= p.s.start and p.x.after >= p.s.end)"
+    return F.expr(f"transform({alone}, p -> struct(p.s.start as start, p.s.end as end, p.s.value as value))")
 
 
 def estimate(patterns: DataFrame, rounds: int = 12) -> DataFrame:
@@ -217,9 +273,9 @@ def estimate(patterns: DataFrame, rounds: int = 12) -> DataFrame:
 def train(judged: DataFrame, rounds: int = 12) -> dict:
     """Log odds of every feature value by kind, from the column ``__proposals`` of judged spans."""
     columns = list(dict.fromkeys(["kind", *VOTES, *FEATURES]))
-    patterns = durable(
-        judged.select(F.explode("__proposals").alias("s")).select(*(F.col(f"s.{c}").alias(c) for c in columns)).groupBy(*columns).agg(F.count("*").alias("n"))
-    )
+    # The outer form: for the inner one Spark would first ask of every text, by matching it all again, whether it has spans.
+    spans = judged.select(F.explode_outer("__proposals").alias("s")).filter("s is not null")
+    patterns = durable(spans.select(*(F.col(f"s.{c}").alias(c) for c in columns)).groupBy(*columns).agg(F.count("*").alias("n")))
     weighed = durable(estimate(patterns, rounds))
     values = F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.col(f).alias("value")) for f in FEATURES)))
     table = weighed.select("kind", "n", "p", values.alias("f")).groupBy("kind", "f.feature", "f.value").agg(
@@ -282,28 +338,29 @@ def detect(docs: DataFrame, least: float = 0.5, rounds: int = 12) -> DataFrame:
 def redacted(docs: DataFrame, least: float = 0.5, rounds: int = 12) -> DataFrame:
     """``docs``, all columns, with every span of the text replaced by its kind in angle brackets."""
     model = train(with_proposals(docs.select("text")), rounds)
-    text = F.col("__text")
-    names = F.array(*map(F.lit, KINDS))
+    # All columns travel in one, so that their names do not meet those used here.
+    packed = docs.select(F.struct("*").alias("row"), "text")
+    names, text_blocks = F.array(*map(F.lit, KINDS)), F.col("__blocks")
     found = F.array_sort(
         F.transform(
             F.filter("__proposals", lambda s: s["strict"] | accepts(s, model, least)),
             lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")),
         )
     )
+    # Where the text that is already replaced ends.
+    done = F.expr(running("__spans", "x.end", 0, MOST))
 
-    def step(state: Column, span: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, span["start"] - state["at"])
+    def replaced(span: Column, at: Column) -> Column:
         tag = F.concat(F.lit("<"), F.element_at(names, span["kind"] + 1), F.lit(">"))
-        # A span inside what is already replaced only lengthens it.
-        out = F.when(span["start"] >= state["at"], F.concat(state["out"], gap, tag)).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
-
-    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    whole = F.aggregate("__spans", state, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    changed = F.col("text").isNotNull() & (F.size("__spans") > 0)
-    return (
-        with_proposals(docs)
-        .withColumn("__spans", found)
-        .withColumn("text", F.when(changed, whole).otherwise(F.col("text")))
-        .select(docs.columns)
-    )
+        # A span that begins inside what is already replaced only lengthens it.
+        return F.when(span["start"] >= at, F.concat(piece(text_blocks, at, span["start"]), tag)).otherwise("")
+
+    rest = piece(text_blocks, F.array_max(F.transform("__spans", lambda s: s["end"])), F.length("__text"))
+    whole = F.concat(F.array_join(F.zip_with("__spans", done, replaced), ""), rest)
+    # Always true, but not a function of the row: a condition that a user puts on the text is then not
+    # worked out below this point, by matching every text again.
+    once = F.monotonically_increasing_id() >= 0
+    changed = F.col("__once") & F.col("text").isNotNull() & (F.size("__spans") > 0)
+    clean = F.when(changed, whole).otherwise(F.col("text"))
+    columns = [clean.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
+    return with_proposals(packed).withColumns({"__spans": found, "__once": once}).select(columns)

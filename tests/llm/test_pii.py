@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -120,3 +122,60 @@ def test_edge_cases(spark, edge, empty):
     out = pii.redacted(edge)
     assert out.columns == edge.columns and out.filter("text is null").count() == 2
     assert pii.detect(empty).collect() == [] and pii.redacted(empty).collect() == []
+
+
+def test_time_grows_with_the_spans_not_with_their_square(spark):
+    def seconds(n):
+        text = " ".join(f"user{k}@mail{k % 9}.com, {k % 200}.1.2.3 ask john at mail dot com" for k in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        judged = pii.with_proposals(docs).select(F.size("__proposals"))
+        started = time.perf_counter()
+        assert judged.first()[0] >= 2 * n
+        return time.perf_counter() - started
+
+    seconds(100)
+    assert seconds(16_000) < 3 * max(seconds(8_000), 1.0)
+
+
+def test_redaction_of_a_very_long_text(spark):
+    text = "".join(f"é{k} a{k}@b.de 1.2.3.{k % 300} " for k in range(5_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    want = "".join(f"é{k} <email> {'<ip>' if k % 300 < 256 else f'1.2.3.{k % 300}'} " for k in range(5_000))
+    assert pii.redacted(docs).first().text == want
+
+
+def test_running_joins_what_comes_before(spark):
+    chance = random.Random(3)
+    rows = [[chance.randint(0, 9) for _ in range(n)] for n in (0, 1, 127, 128, 129, 1000)]
+    df = spark.createDataFrame([(k, r) for k, r in enumerate(rows)], "k int, x array<int>")
+    got = df.select("k", F.expr(pii.running("x", "x", 0, pii.SUM)).alias("sum"), F.expr(pii.running("x", "x", 0, pii.MOST)).alias("top"))
+    for r in got.collect():
+        x = rows[r.k]
+        assert r["sum"] == [sum(x[:i]) for i in range(len(x))]
+        assert r.top == [max(x[:i], default=0) for i in range(len(x))]
+
+
+@pytest.mark.parametrize("length", [0, 1, 1023, 1024, 1025, 5000])
+def test_pieces_of_blocks(spark, length):
+    text = "".join("aé\U0001f600\n"[k % 4] for k in range(length))
+    ranges = [(0, 0), (0, 1), (5, 29), (1000, 1024), (1020, 1030), (1024, 1025), (900, 3100), (length, length + 1), (0, length)]
+    df = spark.createDataFrame([(text, a, b) for a, b in ranges], "text string, a int, b int")
+    got = df.withColumn("blocks", pii.blocks(F.col("text"))).select("a", "b", pii.piece(F.col("blocks"), F.col("a"), F.col("b")).alias("p"))
+    assert [(r.a, r.b, r.p) for r in got.collect()] == [(a, b, text[a:b]) for a, b in ranges]
+
+
+def test_loose_spans_that_touch_strict_ones_are_left_out(spark):
+    chance = random.Random(5)
+    for _ in range(3):
+        strict = sorted({(a, a + chance.randint(1, 6)) for a in range(0, 400, 9) if chance.random() < 0.5})
+        loose = sorted({(a, a + chance.randint(1, 6)) for a in range(3, 400, 7)})
+        df = spark.createDataFrame([([(*s, "s") for s in strict], [(*s, "l") for s in loose])], f"s array<{pii.SPAN}>, l array<{pii.SPAN}>")
+        got = df.withColumn("m", pii.mixed("s", "l")).select(pii.apart("m").alias("out")).first().out
+        assert [(r.start, r.end) for r in got] == [x for x in loose if not any(a < x[1] and x[0] < b for a, b in strict)]
+
+
+def test_names_of_further_columns_do_not_matter(spark):
+    names = ["__email", "__text", "__spans", "__blocks", "__proposals", "row", "spans", "__strict_ip"]
+    docs = spark.createDataFrame([(1, "to a@b.de", *names)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    out = pii.redacted(docs)
+    assert out.columns == docs.columns and tuple(out.first()) == (1, "to <email>", *names)
