@@ -1,7 +1,9 @@
 import math
+import random
 import statistics
 from datetime import date
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,3 +159,23 @@ def test_spacing_leaves_out_bars_without_company_or_date(make):
     bars = make(closes([1, 2, 3]) + [bar(None, "2020-01-01"), bar(None, "2020-01-05"), bar("A", None)])
     assert bar_spacing(bars).count() == 3 and sampling_period(bars).count() == 1
     assert moving_average_rolling(bars, 2).count() == 3
+
+
+def test_correlation_matrix_of_values_that_are_partly_missing(spark):
+    chance = random.Random(11)
+    rows = []
+    for k in range(3000):
+        a, b = chance.gauss(1e6, 1), chance.choice([None, float("nan"), chance.random()])
+        rows.append((a, b, a + (b or 0.0) if b == b else 5.0, k if chance.random() < 0.7 else None, 4.25 if b is not None else chance.random(), None))
+    df = spark.createDataFrame(rows, "a double, b double, c double, d long, e double, f double").repartition(5)
+    pandas = pd.DataFrame([[math.nan if v is None else float(v) for v in r] for r in rows], columns=list("abcdef"))
+    got = {(r.col_a, r.col_b): r["corr"] for r in correlation_matrix(df).collect()}
+    assert len(got) == 36
+    expected = pandas.corr()
+    for (one, two), value in got.items():
+        want = expected.loc[one, two]
+        both = pandas[[one, two]].dropna()
+        if len(both) < 2 or both.std().min() < 1e-9:
+            assert value is None, (one, two)
+        else:
+            assert math.isclose(value, want, abs_tol=1e-9), (one, two)
