@@ -1,0 +1,105 @@
+"""Queries without SQL, worked out again in plain Python: scores by their formulas, matches by trying all pairs."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from barloom.llm import decontamination, langid, toxicity
+from barloom.llm.common import crc_part
+from barloom.llm.queries import op2_noisy_or_toxicity, op5_seeded_alignment, op7_centroid_langid
+from tests.llm.conftest import SMALL
+
+
+def test_toxicity_scores_are_the_noisy_or_of_the_sentences(spark):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels.filter(crc_part("doc_id", 3) != 1))
+    got = {r.doc_id: r.score for r in op2_noisy_or_toxicity(spark, SMALL).collect()}
+    for r in docs.select("doc_id", "text").collect():
+        quiet = 1 - model["leak"]
+        for sentence in re.findall(r"[^.!?\n]+[.!?]*", r.text or ""):
+            words = set(re.findall(r"[^\W\d_]+", sentence.lower()))
+            if words:
+                names = words | {w[:k] + "*" for w in words for k in (4, 6) if len(w) >= k}
+                z = model["bias"] + sum(model["weights"].get(b, 0.0) for b in {zlib.crc32(n.encode()) % 2**18 for n in names})
+                quiet *= 1 - 1 / (1 + math.exp(-min(max(z, -30.0), 30.0)))
+        assert got[r.doc_id] == pytest.approx(1 - quiet, abs=1e-9)
+
+
+def plain_vector(text, idf):
+    """Normalised TF-IDF of hashed 1- to 3-grams of letters, a blank before and after each word."""
+    letters = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+    line = " " + " ".join(letters.split()) + " "
+    grams = Counter()
+    for n in (1, 2, 3):
+        for i in range(len(line) - n + 1):
+            points = [ord(c) for c in line[i : i + n]]
+            if n == 1 and points == [32]:
+                continue
+            code = 0
+            for p in points:
+                code = code << 21 | p
+            mixed = (code + (n - 1 << 62)) * langid.MULTIPLIER % 2**64
+            mixed ^= mixed >> 29
+            grams[mixed * langid.MULTIPLIER % 2**64 >> 64 - langid.BITS] += 1
+    weights = {b: math.log1p(k) * idf[b] for b, k in grams.items()}
+    norm = math.sqrt(sum(w * w for w in weights.values()))
+    return {b: w / norm for b, w in weights.items()} if norm else {}
+
+
+def test_languages_are_those_of_the_nearest_centroid(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = langid.fit(langid.training_rows(docs, crc_part("doc_id", 4) == 2))
+    got = {r.doc_id: r for r in op7_centroid_langid(spark, SMALL).collect()}
+    chosen = docs.select("doc_id", "text").filter("n_chars < 3000").collect()
+    assert len(chosen) > 100
+    for r in chosen:
+        vector = plain_vector(r.text, model["idf"])
+        if not vector:
+            assert got[r.doc_id].lang_pred == "und" and got[r.doc_id].score == 0
+            continue
+        cosines = [sum(w * float(model["centroids"][b, k]) for b, w in vector.items()) for k in range(len(model["langs"]))]
+        best = max(cosines)
+        assert got[r.doc_id].score == pytest.approx(min(best, 1.0), abs=1e-4)
+        near = {lang for lang, c in zip(model["langs"], cosines) if c > best - 1e-4}
+        assert got[r.doc_id].lang_pred in near
+
+
+def plain_score(item, text):
+    """Best local alignment of two word lists: 2 for a match, -1 for a change or a gap."""
+    before, best = [0] * (len(text) + 1), 0
+    for a in item:
+        row = [0]
+        for k, b in enumerate(text, 1):
+            row.append(max(0, before[k - 1] + (2 if a == b else -1), before[k] - 1, row[-1] - 1))
+        best, before = max(best, *row), row
+    return best / (2 * len(item))
+
+
+def test_contaminated_documents_are_those_of_all_alignments(spark, tmp_path):
+    chance = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(400)]
+    items = [[chance.choice(vocabulary) for _ in range(chance.randint(12, 60))] for _ in range(12)]
+    docs = []
+    for k in range(160):
+        words = [chance.choice(vocabulary) for _ in range(chance.randint(0, 120))]
+        if k % 2:
+            copy = list(chance.choice(items))
+            for at in chance.sample(range(len(copy)), chance.choice([0, 1, 2, len(copy) // 10])):
+                copy[at] = chance.choice(["other", ""])
+            words[len(words) // 2 : len(words) // 2] = [w for w in copy if w]
+        docs.append((k, " ".join(words)))
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {(r.doc_id, r.item_id): r.score for r in op5_seeded_alignment(spark, str(tmp_path)).collect()}
+    want = {}
+    for d, text in docs:
+        for k, item in enumerate(items):
+            score = plain_score(item, text.split())
+            if score >= 0.6:
+                want[d, k] = pytest.approx(score, abs=1e-6)
+    assert got == want and len(want) > 60
+    assert decontamination.SEGMENT >= max(map(len, items))
