@@ -25,7 +25,7 @@ MONTH_BARS = 30
 SPAN, CARRIED = "_span", "_carried"
 
 
-def first_last_rows(bars: DataFrame, k: int = 40) -> DataFrame:
+def first_last_rows(bars: DataFrame, k: int = 40, *, unique_days: bool = True) -> DataFrame:
     """The first ``k`` and the last ``k`` bars of each company, as one table.
 
     A company with fewer than ``2 * k`` bars has some of them twice. Bars of one
@@ -35,13 +35,40 @@ def first_last_rows(bars: DataFrame, k: int = 40) -> DataFrame:
     Every bar is ranked from both ends in one pass: it goes once into the part
     of the first and once, its order turned round, into that of the last, and
     each task cuts both parts to ``k`` bars of a company before the shuffle.
+
+    The cut sorts all bars of a task twice over, which spills where a task has
+    many. Without ``unique_days`` the bars of each day are counted first, and
+    only those of the days at either end are ranked. The rows are the same; the
+    bars are read twice, and the days' bounds, one row per company, are broadcast.
     """
     check_count("k", k)
+    whole = dated(bars)
+    both = whole.withColumn("_end", F.explode(F.array(F.lit(1), F.lit(-1)))) if unique_days else _near_an_end(whole, k)
     row = F.row_number().over(Window.partitionBy("company_name", "_end").orderBy(*_from_either_end(bars)))
-    both = dated(bars).withColumn("_end", F.explode(F.array(F.lit(1), F.lit(-1))))
     return both.withColumn("_row", row).filter(F.col("_row") <= k).drop("_end", "_row")
 
 
+def _near_an_end(bars: DataFrame, k: int) -> DataFrame:
+    """The bars of the days that hold a company's first and last ``k`` bars, once for each
+    part they may be in: ``_end`` is 1 in that of the first and -1 in that of the last.
+
+    Both bounds follow from exact counts, and whole days are kept, so no tie is cut here.
+    """
+    day = F.unix_date("Date")
+    days = bars.groupBy(F.col("company_name").alias("_company"), day.alias("_day")).agg(F.count("*").alias("_bars"))
+    company = Window.partitionBy("_company")
+    upto, total = F.sum("_bars").over(company.orderBy("_day")), F.sum("_bars").over(company)
+    placed = days.withColumns({"_before": upto - F.col("_bars"), "_after": total - upto})
+    bounds = placed.groupBy("_company").agg(
+        F.max(F.when(F.col("_before") < k, F.col("_day"))).alias("_until"),
+        F.min(F.when(F.col("_after") < k, F.col("_day"))).alias("_from"),
+    )
+    first, last = day <= F.col("_until"), day >= F.col("_from")
+    near = bars.join(F.broadcast(bounds), (F.col("company_name") == F.col("_company")) & (first | last))
+    ends = F.array(F.when(first, F.lit(1)), F.when(last, F.lit(-1)))
+    return near.withColumn("_end", F.explode(F.array_compact(ends))).drop("_company", "_until", "_from")
+
+
 def _from_either_end(bars: DataFrame) -> list[Column]:
     """Order by date and ties, upwards where ``_end`` is 1 and downwards where it is -1."""
     end, order = F.col("_end"), [F.unix_date("Date") * F.col("_end")]

@@ -198,7 +198,7 @@ SUPPLIER_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
 RAGGED_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "ragged_pair_correlation": lambda b: op.pair_correlation(b, combinations(STATUSES, 2)),
     "ragged_highest_daily_return": op.highest_daily_return,
-    "ragged_first_last_rows": op.first_last_rows,
+    "ragged_first_last_rows": lambda b: op.first_last_rows(b, unique_days=False),
     "ragged_moving_average_asof": lambda b: op.moving_average_asof(b, "2000-01-01", 20),
     "ragged_bollinger_bands": lambda b: op.bollinger_bands(b, "2000-01-01", 20),
 }

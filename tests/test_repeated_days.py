@@ -6,6 +6,7 @@ import math
 import random
 import re
 import statistics
+from collections import Counter
 from datetime import date, timedelta
 
 import pytest
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from barloom import operators as op
 from barloom.operators.windows import with_bars_before
+from barloom.plans.queries import all_queries
 from tests.conftest import bar, closes, run_of_days
 from tests.test_plans import exchanges, plan
 
@@ -82,6 +84,48 @@ def test_first_and_last_rows_need_one_scan_and_one_exchange(spark, tmp_path, mak
     assert re.findall(r"WindowGroupLimit .*?(Partial|Final)", text) == ["Final", "Partial"]
 
 
+@pytest.mark.parametrize("k", [1, 3, 40])
+@pytest.mark.parametrize("most", [1, 4, 30])
+def test_first_and_last_rows_by_days_counted_first(make, k, most):
+    crowd = [bar("C", "2020-03-01", price / 8, close=2.0) for price in range(100)]
+    holes = [bar("D", "2020-01-01", v) for v in (3.0, None, 1.0, 1.0, 2.0)]
+    rows = ragged(k, days=20, most=most) + crowd + holes + holes
+    random.Random(k).shuffle(rows)
+    found, plain = (op.first_last_rows(make(rows), k, unique_days=u) for u in (False, True))
+    assert found.columns == plain.columns
+    got, want = (Counter(tuple(r) for r in df.collect()) for df in (found, plain))
+    assert got == want and {r[0] for r in got} == set("ABCD")
+
+
+def ranked(df):
+    """Rows of ``df`` and how many came out of its explode, which are those that are sorted and ranked."""
+    rows = df.collect()
+
+    def below(node):
+        children = node.children()
+        return [node] + [x for i in range(children.size()) for x in below(children.apply(i))]
+
+    nodes = below(df._jdf.queryExecution().executedPlan())
+    return rows, sum(n.metrics().apply("numOutputRows").value() for n in nodes if n.nodeName() == "Generate")
+
+
+def test_ragged_query_ranks_only_bars_of_the_days_at_either_end(spark, tmp_path):
+    trades = spark.range(3000).selectExpr(
+        "1 AS l_linenumber", "'N' AS l_returnflag", "'O' AS l_linestatus", "0.0D AS l_tax", "0.0D AS l_discount",
+        "1.0D AS l_quantity", "CAST(id AS DOUBLE) AS l_extendedprice", "TIMESTAMP '1997-01-01' + make_interval(0, 0, 0, id % 100) AS l_shipdate",
+    )
+    trades.write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows, sorted_rows = ranked(all_queries()["ragged_first_last_rows"](spark, str(tmp_path)))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # 30 bars a day: the first 40 are in two days, and so are the last.
+    assert sorted_rows == 120
+    want = sorted(range(3000), key=lambda i: (i % 100, i))
+    assert sorted(r.Open for r in rows) == sorted(want[:40] + want[-40:])
+
+
 def test_latest_days_leave_out_rows_without_company(spark, tmp_path, make):
     rows = ragged(5)
     make(rows).write.parquet(f"{tmp_path}/bars")
